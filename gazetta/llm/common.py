@@ -19,15 +19,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def scratch(spark: SparkSession) -> str:
+    """The shared folder: the cluster's spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder and read from there.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset, as in
-    tests, one of our own is set.
+    Lineage ends there, and every executor can read it. Spark removes it with the last use.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints")
+        sc.setCheckpointDir(scratch(df.sparkSession))
     return df.checkpoint()
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import decontaminate, exact_dedup, token_files
 
-QUERIES = {"op1_exact_dedup": exact_dedup.op1_exact_dedup}
-SQL = {"op1_exact_dedup": exact_dedup.SQL}
+QUERIES = {
+    "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op4_token_files": token_files.op4_token_files,
+}
+SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL}
