@@ -7,9 +7,13 @@ once; the token ids are those of the whole text.
 
 from __future__ import annotations
 
+import contextlib
+import gc
+import itertools
 import re
+from array import array
+from collections.abc import Iterator
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces that a worker keeps at most; beyond that it forgets all and starts again.
@@ -35,13 +39,26 @@ def pre_tokens(piece: str) -> list[str]:
     return [x for x in m.groups() if x] if m else [piece]
 
 
-def encode_each(tokenizer: Tokenizer, pieces: list[str]) -> list[np.ndarray]:
-    out: list[np.ndarray] = []
+def encode_each(tokenizer: Tokenizer, pieces: list[str]) -> list[array]:
+    """The ids of each piece, as an array of int32."""
+    out: list[array] = []
     for i in range(0, len(pieces), 4000):
-        out += [np.array(e.ids, "<i4") for e in tokenizer.encode_batch_fast(pieces[i : i + 4000], add_special_tokens=False)]
+        out += [array("i", e.ids) for e in tokenizer.encode_batch_fast(pieces[i : i + 4000], add_special_tokens=False)]
     return out
 
 
+@contextlib.contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the cyclic garbage collector, which would walk the memories again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Memory:
     """ids (as little-endian int32 bytes) of pieces."""
 
@@ -52,7 +69,9 @@ class Memory:
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         if len(self.words) > self.size:
             self.words.clear()
+        words = self.words
         parts = [pre_tokens(x) for x in pieces]
-        fresh = list({x for own in parts for x in own if x not in self.words})
-        self.words.update(zip(fresh, (x.tobytes() for x in encode_each(self.tokenizer, fresh)), strict=True))
-        return [b"".join([self.words[x] for x in own]) for own in parts]
+        fresh = list(set(itertools.chain.from_iterable(parts)).difference(words))
+        for x, ids in zip(fresh, encode_each(self.tokenizer, fresh), strict=True):
+            words[x] = ids.tobytes()
+        return [words[own[0]] if len(own) == 1 else b"".join([words[x] for x in own]) for own in parts]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, scratch
-from .pieces import MEMORY, Memory
+from .pieces import MEMORY, Memory, no_collection
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
@@ -51,12 +51,13 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.after) > MEMORY:
             self.after.clear()
-        parts = [self.parts(x) for x in texts]
-        fresh = list(set().union(*(x[1:] for x in parts)).difference(self.after))
-        self.after.update(zip(fresh, self.memory.ids_of([f" {x}" for x in fresh]), strict=True))
-        heads = self.memory.ids_of([x[0] for x in parts])
-        get = self.after.__getitem__
-        return [b"".join([head, *map(get, x[1:])]) for head, x in zip(heads, parts, strict=True)]
+        with no_collection():
+            parts = [self.parts(x) for x in texts]
+            heads = self.memory.ids_of([x.pop(0) for x in parts])
+            fresh = list(set().union(*parts).difference(self.after))
+            self.after.update(zip(fresh, self.memory.ids_of([f" {x}" for x in fresh]), strict=True))
+            get = self.after.__getitem__
+            return [head + b"".join(map(get, x)) for head, x in zip(heads, parts, strict=True)]
 
     def parts(self, text: str) -> list[str]:
         parts = text.split(" ")
