@@ -84,13 +84,11 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     named = cut(with_identity(docs, block_bytes))
     groups = named.groupBy("n_bytes", "name").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("n_points", (-F.col("doc_id")).alias("minus"), "row")).alias("best"))
     hot = groups.where(F.col("group_size") >= HOT_FLOOR).orderBy(F.desc("group_size"), "n_bytes", "name").limit(HOT_KEYS)
-    as_hot = hot.select("n_bytes", "name", F.struct("group_size", "best").alias("hot"))
-    marked = named.join(F.broadcast(as_hot), ["n_bytes", "name"], "left")
-    marked = marked.withColumn("spread", F.when(F.col("hot").isNull(), F.lit(0).cast("long")).otherwise(1 + F.pmod("row", F.lit(1 << 40))))
-    rest = groups.select("n_bytes", "name", F.lit(0).cast("long").alias("spread"), F.struct("group_size", "best").alias("cold"))
-    g = F.coalesce("hot", "cold")
-    out = marked.join(rest, ["n_bytes", "name", "spread"], "left").withColumn("g", g)
-    return out.select("doc_id", (-F.col("g.best.minus")).alias("keep_id"), F.col("g.group_size").alias("group_size"), (F.col("g.best.row") == F.col("row")).alias("kept"), "text_sha256")
+    names = ["n_bytes", "name"]
+    many = named.join(F.broadcast(hot), names)
+    few = named.join(F.broadcast(hot.select(*names)), names, "left_anti").join(groups, names)
+    out = many.unionByName(few)
+    return out.select("doc_id", (-F.col("best.minus")).alias("keep_id"), "group_size", (F.col("best.row") == F.col("row")).alias("kept"), "text_sha256")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
