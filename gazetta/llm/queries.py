@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe_reuse, decontaminate, exact_dedup, token_files
+from . import bpe_reuse, decontaminate, exact_dedup, language_id, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_token_files": token_files.op4_token_files,
+    "op6_language_id": language_id.op6_language_id,
     "op7_bpe_reuse": bpe_reuse.op7_bpe_reuse,
 }
 SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL}
