@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, token_files
+from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, near_dedup, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_files": token_files.op4_token_files,
     "op6_language_id": language_id.op6_language_id,
     "op7_bpe_reuse": bpe_reuse.op7_bpe_reuse,
+    "op8_near_dedup": near_dedup.op8_near_dedup,
     "op10_licenses": licenses.op10_licenses,
 }
 SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL}
