@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, near_dedup, token_files
+from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, lm_scoring, near_dedup, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_language_id": language_id.op6_language_id,
     "op7_bpe_reuse": bpe_reuse.op7_bpe_reuse,
     "op8_near_dedup": near_dedup.op8_near_dedup,
+    "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_licenses": licenses.op10_licenses,
 }
 SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL}
