@@ -150,9 +150,9 @@ def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(lambda batches: _run(batches, tokenizer), SCHEMA)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 
 def op7_bpe_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:

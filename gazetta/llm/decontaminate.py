@@ -28,7 +28,7 @@ from .common import cut, documents, table
 WINDOW = 10
 #: Bytes of item text in one automaton, which takes about a hundred times as much memory.
 ITEM_BYTES = 1 << 20
-SCHEMA = "doc_id long, text binary, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 #: Words are runs of [0-9a-z] and non-ASCII bytes after lower-casing A-Z; the length in bytes stays.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -162,7 +162,7 @@ def _mark(batches: Iterator[pa.RecordBatch], automaton) -> Iterator[pa.RecordBat
             all_spans.append(_merge(spans, more) if spans else [{"start": s, "end": e} for s, e in more])
             all_items.append(sorted({*items, *(x for x in found if x is not None)}))
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(all_spans, spans_type), pa.array(all_items, pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "spans", "items"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(all_spans, spans_type), pa.array(all_items, pa.list_(pa.string()))], names=["doc", "text", "n_words", "spans", "items"])
 
 
 def _merge(spans: list[dict], more: list[list[int]]) -> list[dict]:
@@ -189,7 +189,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, spans = batch.column("text"), batch.column("spans").to_pylist()
         clean = [_cut_spans(texts[i].as_py(), x).decode("utf-8") if x else None for i, x in enumerate(spans)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "n_words", "spans", "items")), pa.array(clean, pa.string())], names=["doc_id", "n_words", "spans", "items", "clean_text"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc", "n_words", "spans", "items")), pa.array(clean, pa.string())], names=["doc", "n_words", "spans", "items", "clean_text"])
 
 
 def automata(benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> Iterator[Automaton]:
@@ -202,21 +202,21 @@ def automata(benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_
         yield Automaton([(x.item_id, words_of(bytes(x.text))) for x in share.collect()], window)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, coverage, spans (of words), items, clean_text (null where nothing is hit)."""
-    out = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
-    none = Automaton([], window)
-    for k, automaton in enumerate([*automata(benchmark, window, item_bytes)] or [none]):
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_BYTES, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """doc (the carried columns), n_words, n_hit, coverage, spans (of words), items, clean_text (null where nothing is hit)."""
+    out = docs.select(F.struct(*carry).alias("doc"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
+    kind = out.schema["doc"].dataType.simpleString()
+    for k, automaton in enumerate([*automata(benchmark, window, item_bytes)] or [Automaton([], window)]):
         shared = docs.sparkSession.sparkContext.broadcast(automaton)
-        out = (cut(out) if k else out).mapInArrow(lambda batches, a=shared: _mark(batches, a), SCHEMA)
-    out = out.mapInArrow(_finish, "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, clean_text string")
+        out = (cut(out) if k else out).mapInArrow(lambda batches, a=shared: _mark(batches, a), f"doc {kind}, text binary, {FOUND}")
+    out = out.mapInArrow(_finish, f"doc {kind}, {FOUND}, clean_text string")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.withColumn("n_hit", n_hit).withColumn("coverage", F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(F.lit(0.0)))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return found.select("doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 #: Windows of every item, joined to every place of a document by their words.

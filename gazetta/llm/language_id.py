@@ -33,7 +33,6 @@ SAMPLE = 6000
 WIDTHS, FILTERS = (2, 3, 4), 16
 EPOCHS, BATCH, RATE, SEED = 10, 50, 0.01, 7
 UNKNOWN = "und"
-SCHEMA = "doc_id long, lang_pred string, score double"
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], "u1")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -165,17 +164,18 @@ def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
             best = int(share.argmax())
             languages.append(network.languages[best])
             scores.append(float(share[best] / share.sum()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(languages), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["doc", "lang_pred", "score"])
 
 
-def predict(docs: DataFrame, network: Network | None) -> DataFrame:
-    """doc_id, lang_pred, score of every text."""
+def predict(docs: DataFrame, network: Network | None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """doc (the carried columns), lang_pred, score of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(lambda batches: _predict(batches, shared), SCHEMA)
+    rows = docs.select(F.struct(*carry).alias("doc"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(lambda batches: _predict(batches, shared), f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    out = held_out(F.col("doc_id"), 4, 2)
-    network = fit(docs.where(~out & F.col("doc_id").isNotNull()))
-    return predict(docs, network).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+    network = fit(docs.where(~held_out(F.col("doc_id"), 4, 2) & F.col("doc_id").isNotNull()))
+    out = held_out(F.col("doc.doc_id"), 4, 2)
+    return predict(docs, network).select("doc.doc_id", out.alias("held_out"), "lang_pred", "score")

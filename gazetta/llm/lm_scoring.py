@@ -107,7 +107,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """A block's question to each shard: a range of hashes, and how often the block uses them in training."""
-    edges = (np.arange(1, shards, dtype="u8") * np.uint64((1 << 64) // shards)).astype("u8")
+    edges = np.array([(k << 64) // shards for k in range(1, shards)], "u8")
     for batch in batches:
         for block, keys, uses in zip(*(batch.column(k) for k in ("block", "keys", "uses")), strict=True):
             keys = _undeltas(keys.as_py())

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, lm_scoring, near_dedup, token_files
+from . import bpe_reuse, decontaminate, exact_dedup, language_id, licenses, line_dedup, lm_scoring, near_dedup, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_token_files": token_files.op4_token_files,
     "op6_language_id": language_id.op6_language_id,
     "op7_bpe_reuse": bpe_reuse.op7_bpe_reuse,
@@ -14,4 +15,4 @@ QUERIES = {
     "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_licenses": licenses.op10_licenses,
 }
-SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL}
+SQL = {"op1_exact_dedup": exact_dedup.SQL, "op2_decontaminate": decontaminate.SQL, "op3_line_dedup": line_dedup.SQL}
