@@ -6,7 +6,7 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _U64 = (1 << 64) - 1
-_VALUES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
+VALUES = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], "u1")
 _SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 _powers: list[np.ndarray] = [np.ones(1, "u8"), np.ones(1, "u8")]
@@ -46,7 +46,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     up, down = powers(len(a) + 1)
     sums = np.zeros(len(a) + 1, "u8")
-    np.cumsum(_VALUES[a] * up[:-1], out=sums[1:])
+    np.cumsum(VALUES[a] * up[:-1], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype("u8"))
 
 

@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blobs import pack, pack_sorted, shares, unpack, unpack_sorted
 from .common import cut, documents
 from .hashing import combine, word_hashes
 from .language_id import held_out
@@ -45,7 +45,6 @@ STEP, RATIO_BITS = 8, 40
 ROUNDS = 30
 _END = np.uint64(0x1B873593CC9E2D51)
 _START = np.uint64(0x85EBCA6BC2B2AE35)
-_ZIP = zstandard.ZstdCompressor(level=1)
 #: Distinct n-grams of all blocks that one shard adds up.
 SHARD_KEYS = 3 << 20
 BLOCK_SCHEMA = "block string, n_keys long, doc_id array<long>, role array<int>, length array<int>, keys binary, uses binary, tokens binary"
@@ -53,24 +52,6 @@ BLOCK_SCHEMA = "block string, n_keys long, doc_id array<long>, role array<int>,
 SCORED, KEPT, DELETED = 0, 1, 2
 
 
-def pack(x: np.ndarray) -> bytes:
-    return _ZIP.compress(np.ascontiguousarray(x).tobytes())
-
-
-def unpack(x: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x, max_output_size=1 << 31), kind)
-
-
-def _deltas(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences, one plane of bytes after the other: the leading ones are mostly zero."""
-    return pack(np.diff(keys, prepend=np.uint64(0)).view("u1").reshape(-1, 8).T)
-
-
-def _undeltas(x: bytes) -> np.ndarray:
-    planes = unpack(x, "u1").reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("u8").ravel(), dtype="u8")
-
-
 def _block(name: str, rows: list[tuple]) -> dict:
     """A block's distinct n-grams with their uses by role, and its tokens as indices of unigrams and bigrams."""
     lengths = np.array([len(words) + 1 for _, _, words in rows])
@@ -82,7 +63,7 @@ def _block(name: str, rows: list[tuple]) -> dict:
     keys, at = np.unique(grams, return_inverse=True)
     role = np.tile(np.repeat([r for _, r, _ in rows], lengths), 2)
     uses = np.stack([np.bincount(at[role == r], minlength=len(keys)) for r in (KEPT, DELETED)]).astype("u4")
-    return {"block": name, "n_keys": len(keys), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths.tolist(), "keys": _deltas(keys), "uses": pack(uses), "tokens": pack(at.astype("u4"))}
+    return {"block": name, "n_keys": len(keys), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths.tolist(), "keys": pack_sorted(keys), "uses": pack(uses), "tokens": pack(at.astype("u4"))}
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,16 +88,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """A block's question to each shard: a range of hashes, and how often the block uses them in training."""
-    edges = np.array([(k << 64) // shards for k in range(1, shards)], "u8")
     for batch in batches:
         for block, keys, uses in zip(*(batch.column(k) for k in ("block", "keys", "uses")), strict=True):
-            keys = _undeltas(keys.as_py())
+            keys = unpack_sorted(keys.as_py())
             uses = unpack(uses.as_py(), "u4").reshape(2, -1)
-            ends = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-            own = [(s, a, b) for s, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a]
+            own = shares(keys, shards)
             yield pa.RecordBatch.from_arrays([
                 pa.array([s for s, _, _ in own], pa.int32()), pa.array([block.as_py()] * len(own)),
-                pa.array([_deltas(keys[a:b]) for _, a, b in own], pa.binary()), pa.array([pack(uses[:, a:b]) for _, a, b in own], pa.binary()),
+                pa.array([pack_sorted(keys[a:b]) for _, a, b in own], pa.binary()), pa.array([pack(uses[:, a:b]) for _, a, b in own], pa.binary()),
             ], names=["shard", "block", "keys", "uses"])
 
 
@@ -124,7 +103,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The counts of all blocks, to each block in the order of its question; rows come by shard."""
 
     def answers(rows: list[tuple]) -> pa.RecordBatch:
-        keys = [_undeltas(k) for _, _, k, _ in rows]
+        keys = [unpack_sorted(k) for _, _, k, _ in rows]
         uses = np.concatenate([unpack(u, "u4").reshape(2, -1) for _, _, _, u in rows], 1).astype("f8")
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         kept, deleted = (np.bincount(at, w, len(distinct)).astype("u4") for w in uses)
