@@ -16,7 +16,6 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .pieces import MEMORY, encode_each, load, no_collection, pre_tokens
+from .pieces import MEMORY, SIMPLE, encode_each, load, no_collection, pre_token_ids
 
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 #: Average chunk: 2**CHUNK_BITS bytes.
@@ -50,13 +49,16 @@ def cuts(text: bytes) -> list[int]:
     return out
 
 
-def parts_of(word: bytes) -> list[bytes]:
-    """Parts that are pre-tokens of word for certain, in lower case where that is plain, or word itself."""
+def parts_of(word: bytes) -> list[bytes] | None:
+    """The normalised pre-tokens of a plain word; null of others."""
     if word.isalpha():
         return [word.lower()]
     if word[-1:] in b".," and word[:-1].isalpha():
         return [word[:-1].lower(), word[-1:]]
-    return [word] if word.isascii() else [x.encode() for x in pre_tokens(word.decode("utf-8"))]
+    if word.isascii():
+        return None
+    m = SIMPLE.fullmatch(word.decode("utf-8"))
+    return [x.encode() for x in m[0].lower().partition(m[2])[:2]] if m and m[2] else [m[0].lower().encode()] if m else None
 
 
 class Codec:
@@ -64,21 +66,28 @@ class Codec:
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.one = pre_token_ids(self.tokenizer)
         vocabulary = {i: x.encode() for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.tokens = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
         self.words: dict[bytes, tuple[bytes, bytes]] = {}  # ids as little-endian int32, tokens joined by spaces
         self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bytes] | None] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        """Encodes words that are not known yet, each simple part of them once."""
-        parts = {w: parts_of(w) for w in words.difference(self.words)}
-        fresh = [x.decode("utf-8") for x in set(itertools.chain.from_iterable(parts.values())).difference(self.words)]
-        token = self.tokens.__getitem__
-        for x, ids in zip(fresh, encode_each(self.tokenizer, fresh), strict=True):
-            self.words[x.encode()] = (ids.tobytes(), b" ".join(map(token, ids)))
-        for w, own in parts.items():
+        """Encodes words that are not known yet, each plain part of them once."""
+        odd, token = [], self.tokens.__getitem__
+        for w in words.difference(self.words):
+            parts = parts_of(w)
+            if parts is None:
+                odd.append(w)
+                continue
+            for x in parts:
+                if x not in self.words:
+                    ids = self.one(x.decode("utf-8"))
+                    self.words[x] = (ids.tobytes(), b" ".join(map(token, ids)))
             if w not in self.words:
-                self.words[w] = self.words[own[0]] if len(own) == 1 else self.join(own)
+                self.words[w] = self.words[parts[0]] if len(parts) == 1 else self.join(parts)
+        for w, ids in zip(odd, encode_each(self.tokenizer, [x.decode("utf-8") for x in odd]), strict=True):
+            self.words[w] = (ids.tobytes(), b" ".join(map(token, ids)))
 
     def join(self, words: list[bytes]) -> tuple[bytes, bytes]:
         known = [self.words[w] for w in words]

@@ -1,4 +1,4 @@
-"""Bounded per-worker memories of encoded pieces, shared by the two tokenising operators.
+"""What the two tokenising operators share: tokenizers, and single pre-tokens.
 
 Both tokenizers encode each pre-token alone, and no pre-token reaches across the start of a run
 of white space. So a text may be cut there and its pieces encoded one by one, each distinct piece
@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import contextlib
 import gc
-import itertools
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from tokenizers import Tokenizer
 
 #: Pieces that a worker keeps at most; beyond that it forgets all and starts again.
-MEMORY = 500_000
-#: Letters of which the tokenizers make one pre-token for certain; other pieces are encoded as a whole.
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ſ]+)([.,])?(?:(\n)([A-Za-zÀ-ÖØ-öø-ſ]+)([.,])?)?")
+MEMORY = 800_000
+#: A word of which the tokenizers make one pre-token for certain, a mark, and the same after a line's end.
+#: Only letters whose lower case is one letter, too.
+_WORD = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"
+SIMPLE = re.compile(rf"({_WORD})([.,])?(?:(\n)({_WORD})([.,])?)?")
 _LOADED: dict[str, Tokenizer] = {}
 
 
@@ -33,14 +34,26 @@ def load(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
-def pre_tokens(piece: str) -> list[str]:
-    """Pieces of `piece` that are pre-tokens for certain, or piece itself."""
-    m = _SIMPLE.fullmatch(piece)
-    return [x for x in m.groups() if x] if m else [piece]
+def byte_characters() -> dict[int, int]:
+    """The characters that byte-level tokenizers use for bytes: printable ones stand for themselves."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return dict(zip(others, range(256, 256 + len(others)), strict=True))
+
+
+def pre_token_ids(tokenizer: Tokenizer) -> Callable[[str], array]:
+    """A function from one pre-token (normalised) to its ids, by the tokenizer's model alone."""
+    tokenize, characters = tokenizer.model.tokenize, byte_characters()
+
+    def ids(word: str) -> array:
+        as_bytes = word.encode("utf-8").decode("latin-1").translate(characters)
+        return array("i", [t.id for t in tokenize(as_bytes)])
+
+    return ids
 
 
 def encode_each(tokenizer: Tokenizer, pieces: list[str]) -> list[array]:
-    """The ids of each piece, as an array of int32."""
+    """The ids of each piece, of any kind."""
     out: list[array] = []
     for i in range(0, len(pieces), 4000):
         out += [array("i", e.ids) for e in tokenizer.encode_batch_fast(pieces[i : i + 4000], add_special_tokens=False)]
@@ -57,21 +70,3 @@ def no_collection() -> Iterator[None]:
     finally:
         if was:
             gc.enable()
-
-
-class Memory:
-    """ids (as little-endian int32 bytes) of pieces."""
-
-    def __init__(self, path: str, size: int = MEMORY):
-        self.tokenizer, self.size = load(path), size
-        self.words: dict[str, bytes] = {}
-
-    def ids_of(self, pieces: list[str]) -> list[bytes]:
-        if len(self.words) > self.size:
-            self.words.clear()
-        words = self.words
-        parts = [pre_tokens(x) for x in pieces]
-        fresh = list(set(itertools.chain.from_iterable(parts)).difference(words))
-        for x, ids in zip(fresh, encode_each(self.tokenizer, fresh), strict=True):
-            words[x] = ids.tobytes()
-        return [words[own[0]] if len(own) == 1 else b"".join([words[x] for x in own]) for own in parts]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, scratch
-from .pieces import MEMORY, Memory, no_collection
+from .pieces import MEMORY, SIMPLE, encode_each, load, no_collection, pre_token_ids
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
@@ -45,19 +45,45 @@ class Encoder:
     odd = re.compile(r"\s ")
 
     def __init__(self, path: str):
-        self.memory = Memory(path)
+        self.tokenizer = load(path)
+        self.one = pre_token_ids(self.tokenizer)
         self.after: dict[str, bytes] = {}  # by piece without its leading space
+        self.bare: dict[str, bytes] = {}  # by piece that has none
+        self.marks = {x: ids.tobytes() for x, ids in zip(".,\n", encode_each(self.tokenizer, [*".,\n"]), strict=True)} | {None: b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.after) > MEMORY:
-            self.after.clear()
         with no_collection():
+            for memory in (self.after, self.bare):
+                if len(memory) > MEMORY:
+                    memory.clear()
             parts = [self.parts(x) for x in texts]
-            heads = self.memory.ids_of([x.pop(0) for x in parts])
-            fresh = list(set().union(*parts).difference(self.after))
-            self.after.update(zip(fresh, self.memory.ids_of([f" {x}" for x in fresh]), strict=True))
+            heads = [x.pop(0) for x in parts]
+            self.learn(set(heads).difference(self.bare), self.bare, "")
+            self.learn(set().union(*parts).difference(self.after), self.after, " ")
             get = self.after.__getitem__
-            return [head + b"".join(map(get, x)) for head, x in zip(heads, parts, strict=True)]
+            return [self.bare[head] + b"".join(map(get, x)) for head, x in zip(heads, parts, strict=True)]
+
+    def learn(self, pieces: set[str], memory: dict[str, bytes], space: str) -> None:
+        """Puts the ids of pieces, each after that space, into memory."""
+        odd = []
+        for piece in pieces:
+            m = SIMPLE.fullmatch(piece)
+            if m is None:
+                odd.append(piece)
+                continue
+            word, mark, end, second, last = m.groups()
+            ids = memory.get(word) or self.known(word, memory, space)
+            if mark or end:
+                ids += self.marks[mark]
+                if end:
+                    ids += self.marks[end] + (self.bare.get(second) or self.known(second, self.bare, "")) + self.marks[last]
+                memory[piece] = ids
+        for piece, ids in zip(odd, encode_each(self.tokenizer, [space + x for x in odd]), strict=True):
+            memory[piece] = ids.tobytes()
+
+    def known(self, word: str, memory: dict[str, bytes], space: str) -> bytes:
+        memory[word] = ids = self.one(space + word).tobytes()
+        return ids
 
     def parts(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -105,11 +131,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (tokens of all documents before), n_tokens, ids."""
+    """doc_id, start (tokens of all documents before), n_tokens, ids.
+
+    The offsets are one number for each file, so their size is bounded by the number of files.
+    """
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     offsets = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("offset"))
-    return rows.join(offsets, "part").select("doc_id", (F.col("offset") + F.col("file_start")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(offsets), "part").select("doc_id", (F.col("offset") + F.col("file_start")).alias("start"), "n_tokens", "ids")
 
 
 def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
