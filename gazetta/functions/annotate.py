@@ -7,8 +7,8 @@ import json
 import re
 import unicodedata
 
-
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<start:int,end:int,type:string,text:string,canonical_id:string>>"
@@ -73,7 +73,16 @@ def _digest_all(content: pd.Series, entities: pd.Series) -> pd.Series:
     return pd.Series([source_digest(c, e) for c, e in zip(content, entities, strict=True)], dtype=object)
 
 
-# Workers import the plain functions by name, so these need names of their own.
-accent_fold = F.pandas_udf(_fold_all, "string")
-annotations = F.pandas_udf(_annotate_all, SPAN)
-source_hash = F.pandas_udf(_digest_all, "string")
+# Workers import this module without a session, so the UDFs are made where they are used.
+
+
+def accent_fold(text) -> Column:
+    return F.pandas_udf(_fold_all, "string")(text)
+
+
+def annotations(content, entities) -> Column:
+    return F.pandas_udf(_annotate_all, SPAN)(content, entities)
+
+
+def source_hash(content, entities) -> Column:
+    return F.pandas_udf(_digest_all, "string")(content, entities)
