@@ -13,9 +13,10 @@ bucket keys: at similarity 0.75 a pair shares none of the 64 bands with probabil
 3. Every such pair is verified on the full sets. Sets travel once, to the node they are compared
    with; nodes with many partners are salted and their set is repeated for each salt.
 4. Components of verified links. Buckets that still hold several components are looked at again:
-   whole sketches of their members are compared, and all untested pairs of different components
-   whose sketches agree in CLOSE of the coordinates (five standard deviations below the threshold)
-   are verified too.
+   whole sketches are compared, and each node outside a bucket's largest component proposes the
+   PROPOSALS untested nodes of other components that agree with it best, if in CLOSE of the
+   coordinates (five standard deviations below the threshold). They are verified, components grow,
+   and rounds go on until no untested pair is left, so a round costs a few pairs for each node.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle; rows of one doc_id are one node, also where their
@@ -25,6 +26,7 @@ an empty result. Equality of shingles is that of 64-bit hashes.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ WIDTH, PERCENT = 5, 75
 ROWS, BANDS = 6, 64
 T = ROWS * BANDS
 CLOSE = 0.64
+PROPOSALS = 4
 #: Partners of a node that are verified in one task.
 PARTNERS = 500
 
@@ -174,36 +177,40 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataF
     return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").distinct()
 
 
+def _close(rows: list[tuple]) -> np.ndarray:
+    """Untested pairs of one bucket's nodes in different components: for each node outside the largest one its best."""
+    node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
+    s = np.frombuffer(b"".join(r[3] for r in rows), "u1").reshape(len(rows), T)
+    tested = [set(r[4] or ()) for r in rows]
+    names, counts = np.unique(comp, return_counts=True)
+    out = []
+    for i in np.flatnonzero(comp != names[counts.argmax()]).tolist():
+        rest = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
+        agree = np.concatenate([(s[rest[k : k + 4096]] == s[i]).sum(1) for k in range(0, len(rest), 4096)]) if len(rest) else rest
+        best = np.argsort(-agree, kind="stable")[: int((agree >= CLOSE * T).sum())]
+        own = int(node[i])
+        found = (j for j in rest[best].tolist() if int(node[j]) not in tested[i] and own not in tested[j])
+        out += [(min(own, int(node[j])), max(own, int(node[j]))) for j in itertools.islice(found, PROPOSALS)]
+    return np.array(out, "i8").reshape(-1, 2)
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one key, but of different components, whose sketches agree enough; rows come by (key, n)."""
-    need = int(CLOSE * T)
-
-    def close(rows: list[tuple]) -> np.ndarray:
-        node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
-        s = np.frombuffer(b"".join(r[3] for r in rows), "u1").reshape(len(rows), T)
-        out = []
-        for i in range(len(rows) - 1):
-            last = np.searchsorted(n, n[i] * 100 // PERCENT, "right")  # larger sets cannot be similar enough
-            rest = np.flatnonzero(comp[i + 1 : last] != comp[i]) + i + 1
-            for k in range(0, len(rest), 4096):
-                some = rest[k : k + 4096]
-                some = some[(s[some] == s[i]).sum(1) >= need]
-                out.append(np.stack([np.minimum(node[i], node[some]), np.maximum(node[i], node[some])], 1))
-        return np.concatenate(out) if out else np.empty((0, 2), "i8")
+    """The untested pairs of each bucket; rows come by key."""
+
+    def pairs(rows: list[tuple]) -> pa.RecordBatch:
+        found = _close(rows)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     key, rows = None, []
     for batch in batches:
-        found = [np.empty((0, 2), "i8")]
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short")), strict=True):
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested")), strict=True):
             if k != key:
-                found.append(close(rows))
+                if rows:
+                    yield pairs(rows)
                 key, rows = k, []
             rows.append(row)
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
     if rows:
-        pairs = close(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        yield pairs(rows)
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -215,16 +222,25 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = cut(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
     buckets = classes.select("node", "bands").mapInArrow(_in_batch, "key long, node long, to long")
     pairs = cut(_pairs(buckets))
-    links = cut(verified(docs, pairs, percent))
+    members = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short")
+    members = cut(members)
+    texts = cut(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
+    links, tested = cut(verified(texts, pairs, percent)), pairs
     comps = components(links)
-    members = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    placed = classes.join(members, "node").join(comps, "node", "left").select("node", "n", F.coalesce("component", "node").alias("comp"), F.explode("bands").alias("key"))
-    several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    mixed = placed.join(several, "key").join(classes.select("node", "short"), "node").select("key", "node", "n", "comp", "short")
-    dealt = mixed.repartition(F.col("key")).sortWithinPartitions("key", "n", "node")
-    more = cut(dealt.mapInArrow(_across, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        comps = components(links.unionByName(cut(verified(docs, more, percent))))
+    while True:
+        placed = members.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("comp"), F.explode("bands").alias("key"))
+        several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+        before = tested.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("tested"))
+        mixed = placed.join(several, "key").join(members.select("node", "n", "short"), "node").join(before, "node", "left")
+        dealt = mixed.select("key", "node", "n", "comp", "short", "tested").repartition(F.col("key")).sortWithinPartitions("key", "node")
+        more = cut(dealt.mapInArrow(_across, "a long, b long").distinct())
+        if more.isEmpty():
+            break
+        fresh = cut(verified(texts, more, percent))
+        tested = cut(tested.unionByName(more))
+        if not fresh.isEmpty():
+            links = cut(links.unionByName(fresh))
+            comps = components(links)
     ids = as_bytes.mapInArrow(lambda b: _sets(b, False), "doc_id long, n long, k1 long, k2 long")
     nodes = classes.select(*same, "node").join(comps, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     out = ids.join(nodes, same, "left")
