@@ -16,7 +16,8 @@ bucket keys: at similarity 0.75 a pair shares none of the 64 bands with probabil
    whole sketches are compared, and each node outside a bucket's largest component proposes the
    PROPOSALS untested nodes of other components that agree with it best, if in CLOSE of the
    coordinates (five standard deviations below the threshold). They are verified, components grow,
-   and rounds go on until no untested pair is left, so a round costs a few pairs for each node.
+   and rounds go on, with more proposals for the few nodes that stay apart, until no untested pair
+   is left.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle; rows of one doc_id are one node, also where their
@@ -27,6 +28,7 @@ an empty result. Equality of shingles is that of 64-bit hashes.
 from __future__ import annotations
 
 import itertools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +44,8 @@ WIDTH, PERCENT = 5, 75
 ROWS, BANDS = 6, 64
 T = ROWS * BANDS
 CLOSE = 0.64
-PROPOSALS = 4
+#: Pairs that a node proposes in a bucket in the first round, and the factor for each later one.
+PROPOSALS, GROWTH = 4, 8
 #: Partners of a node that are verified in one task.
 PARTNERS = 500
 
@@ -177,33 +180,40 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataF
     return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").distinct()
 
 
-def _close(rows: list[tuple]) -> np.ndarray:
-    """Untested pairs of one bucket's nodes in different components: for each node outside the largest one its best."""
+def _close(rows: list[tuple], proposals: int) -> np.ndarray:
+    """Untested pairs of one bucket's nodes in different components: for each node outside the largest one its best.
+
+    A pair is looked at in the first of the buckets that its nodes share, and in no other.
+    """
     node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
     s = np.frombuffer(b"".join(r[3] for r in rows), "u1").reshape(len(rows), T)
-    tested = [set(r[4] or ()) for r in rows]
+    tested, band = [set(r[4] or ()) for r in rows], rows[0][5]
     names, counts = np.unique(comp, return_counts=True)
     out = []
     for i in np.flatnonzero(comp != names[counts.argmax()]).tolist():
         rest = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
-        agree = np.concatenate([(s[rest[k : k + 4096]] == s[i]).sum(1) for k in range(0, len(rest), 4096)]) if len(rest) else rest
-        best = np.argsort(-agree, kind="stable")[: int((agree >= CLOSE * T).sum())]
-        own = int(node[i])
-        found = (j for j in rest[best].tolist() if int(node[j]) not in tested[i] and own not in tested[j])
-        out += [(min(own, int(node[j])), max(own, int(node[j]))) for j in itertools.islice(found, PROPOSALS)]
+        found = []
+        for k in range(0, len(rest), 4096):
+            same = s[rest[k : k + 4096]] == s[i]
+            agree = same.sum(1)
+            own = np.flatnonzero((agree >= CLOSE * T) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band))
+            found += zip((-agree[own]).tolist(), rest[k + own].tolist(), strict=True)
+        me = int(node[i])
+        fresh = ((me, int(node[j])) for _, j in sorted(found) if int(node[j]) not in tested[i] and me not in tested[j])
+        out += [(min(x), max(x)) for x in itertools.islice(fresh, proposals)]
     return np.array(out, "i8").reshape(-1, 2)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], proposals: int) -> Iterator[pa.RecordBatch]:
     """The untested pairs of each bucket; rows come by key."""
 
     def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        found = _close(rows)
+        found = np.unique(_close(rows, proposals), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     key, rows = None, []
     for batch in batches:
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested")), strict=True):
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested", "band")), strict=True):
             if k != key:
                 if rows:
                     yield pairs(rows)
@@ -227,13 +237,13 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = cut(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
     links, tested = cut(verified(texts, pairs, percent)), pairs
     comps = components(links)
-    while True:
-        placed = members.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("comp"), F.explode("bands").alias("key"))
+    for proposals in itertools.accumulate(itertools.repeat(GROWTH), operator.mul, initial=PROPOSALS):
+        placed = members.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("comp"), F.posexplode("bands").alias("band", "key"))
         several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         before = tested.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("tested"))
         mixed = placed.join(several, "key").join(members.select("node", "n", "short"), "node").join(before, "node", "left")
-        dealt = mixed.select("key", "node", "n", "comp", "short", "tested").repartition(F.col("key")).sortWithinPartitions("key", "node")
-        more = cut(dealt.mapInArrow(_across, "a long, b long").distinct())
+        dealt = mixed.select("key", "node", "n", "comp", "short", "tested", "band").repartition(F.col("key")).sortWithinPartitions("key", "node")
+        more = cut(dealt.mapInArrow(lambda batches, p=proposals: _across(batches, p), "a long, b long").distinct())
         if more.isEmpty():
             break
         fresh = cut(verified(texts, more, percent))
