@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, documents
+from .common import WORD, cut, documents
 
 #: Words of highest IDF that vote in each document, and the votes a start needs.
 RARE, VOTES = 12, 3
@@ -104,6 +104,7 @@ def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     follows = F.filter("starts", lambda s: (s.n1 == F.col("n1")) & (s.n2.isNull() | s.n2.eqNullSafe(F.col("n2"))))
     hits = each.join(F.broadcast(vocabulary), "w").withColumn("stand", F.coalesce(follows, F.array())).where(F.col("in_index") | (F.size("stand") > 0))
     hits = hits.select("doc_id", "row", "p", F.when(F.col("in_index"), F.col("w")).alias("word"), "stand").distinct()
+    hits = cut(hits)  # read several times below; few words of each text
     stands = hits.select("doc_id", "row", "p", F.explode("stand").alias("s")).select("doc_id", "row", "p", "s.template", "s.label", "s.at")
     base = stands.where("template is null").select("doc_id", "row", "p", "label")
     keys = stands.where("template is not null").select("doc_id", "row", "template", (F.col("p") - F.col("at")).alias("start")).distinct()
