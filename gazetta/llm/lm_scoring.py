@@ -8,7 +8,7 @@ are those under which the remaining counts predict the deleted ones best. The co
 use all training documents.
 
 Counts cover every training token, however many there are. Blocks of documents are tokenised once
-into compact rows (distinct n-grams as sorted 64-bit hashes with counts, tokens as indices).
+into compact rows (distinct words as sorted 64-bit hashes, tokens as indices of these).
 Each block asks for the counts of its n-grams: the hashes are dealt out by value to shards, a shard
 adds up all blocks' counts and answers each block in the order of its question. So what travels is
 one number for each distinct n-gram of a block, a frequent word costs one entry a block, no shard
@@ -45,25 +45,42 @@ STEP, RATIO_BITS = 8, 40
 ROUNDS = 30
 _END = np.uint64(0x1B873593CC9E2D51)
 _START = np.uint64(0x85EBCA6BC2B2AE35)
-#: Distinct n-grams of all blocks that one shard adds up.
-SHARD_KEYS = 3 << 20
-BLOCK_SCHEMA = "block string, n_keys long, doc_id array<long>, role array<int>, length array<int>, keys binary, uses binary, tokens binary"
+#: Tokens of all blocks for each shard that adds up their n-grams.
+SHARD_TOKENS = 3 << 20
+BLOCK_SCHEMA = "block string, n_tokens long, doc_id array<long>, role array<int>, length array<int>, words binary, tokens binary"
 #: Roles of documents: scored only, training, training but deleted from the counts that the weights are learned with.
 SCORED, KEPT, DELETED = 0, 1, 2
 
 
 def _block(name: str, rows: list[tuple]) -> dict:
-    """A block's distinct n-grams with their uses by role, and its tokens as indices of unigrams and bigrams."""
-    lengths = np.array([len(words) + 1 for _, _, words in rows])
-    words = np.concatenate([np.append(w, _END) for _, _, w in rows])
-    before = np.concatenate([[_START], words[:-1]])
-    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = _START
-    # unigram hashes are even, bigram hashes odd, so one sorted list holds both
-    grams = np.concatenate([words & ~np.uint64(1), combine([before, words], 2) | np.uint64(1)])
-    keys, at = np.unique(grams, return_inverse=True)
-    role = np.tile(np.repeat([r for _, r, _ in rows], lengths), 2)
-    uses = np.stack([np.bincount(at[role == r], minlength=len(keys)) for r in (KEPT, DELETED)]).astype("u4")
-    return {"block": name, "n_keys": len(keys), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths.tolist(), "keys": pack_sorted(keys), "uses": pack(uses), "tokens": pack(at.astype("u4"))}
+    """A block's distinct words as sorted even hashes, and its tokens as indices of these."""
+    lengths = [len(words) + 1 for _, _, words in rows]
+    words, at = np.unique(np.concatenate([np.append(w, _END) for _, _, w in rows]) & ~np.uint64(1), return_inverse=True)
+    planes = at.astype("<u4").view("u1").reshape(-1, 4).T
+    return {"block": name, "n_tokens": sum(lengths), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths, "words": pack_sorted(words), "tokens": pack(planes)}
+
+
+class Grams:
+    """The n-grams of a block: distinct words, then distinct bigrams as odd hashes, and where each token has its own."""
+
+    def __init__(self, row: dict):
+        self.lengths, self.roles = np.array(row["length"]), np.array(row["role"])
+        self.first = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        words = unpack_sorted(row["words"])
+        self.word_at = np.ascontiguousarray(unpack(row["tokens"], "u1").reshape(4, -1).T).view("<u4").ravel()
+        own = words[self.word_at]
+        before = np.concatenate([[_START], own[:-1]])
+        before[self.first] = _START
+        pairs, at = np.unique(combine([before, own], 2) | np.uint64(1), return_inverse=True)
+        self.pair_at = at + len(words)
+        self.keys = np.concatenate([words, pairs])
+        self.order = np.argsort(self.keys)
+
+    def uses(self) -> np.ndarray:
+        """How often kept and deleted documents use each n-gram."""
+        role = np.repeat(self.roles, self.lengths)
+        n = len(self.keys)
+        return np.stack([np.bincount(self.word_at[role == r], minlength=n) + np.bincount(self.pair_at[role == r], minlength=n) for r in (KEPT, DELETED)]).astype("u4")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +88,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> pa.RecordBatch:
         one = _block(f"{part}-{n}", rows)
-        kinds = {"block": pa.string(), "n_keys": pa.int64(), "doc_id": pa.list_(pa.int64()), "role": pa.list_(pa.int32()), "length": pa.list_(pa.int32())}
+        kinds = {"block": pa.string(), "n_tokens": pa.int64(), "doc_id": pa.list_(pa.int64()), "role": pa.list_(pa.int32()), "length": pa.list_(pa.int32())}
         return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in one.items()], names=list(one))
 
     for batch in batches:
@@ -86,15 +103,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """A block's question to each shard: a range of hashes, and how often the block uses them in training."""
     for batch in batches:
-        for block, keys, uses in zip(*(batch.column(k) for k in ("block", "keys", "uses")), strict=True):
-            keys = unpack_sorted(keys.as_py())
-            uses = unpack(uses.as_py(), "u4").reshape(2, -1)
+        for row in _rows(batch):
+            g = Grams(row)
+            keys, uses = g.keys[g.order], g.uses()[:, g.order]
             own = shares(keys, shards)
             yield pa.RecordBatch.from_arrays([
-                pa.array([s for s, _, _ in own], pa.int32()), pa.array([block.as_py()] * len(own)),
+                pa.array([s for s, _, _ in own], pa.int32()), pa.array([row["block"]] * len(own), pa.string()),
                 pa.array([pack_sorted(keys[a:b]) for _, a, b in own], pa.binary()), pa.array([pack(uses[:, a:b]) for _, a, b in own], pa.binary()),
             ], names=["shard", "block", "keys", "uses"])
 
@@ -125,17 +147,15 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answers(rows)
 
 
-class Estimates:
+class Estimates(Grams):
     """Counts and estimates for every token of a block."""
 
     def __init__(self, row: dict, vocabulary: tuple[int, int], total: tuple[int, int]):
-        self.lengths, self.roles = np.array(row["length"]), np.array(row["role"])
-        tokens = unpack(row["tokens"], "u4")
-        self.word_at, self.pair_at = tokens[: len(tokens) // 2], tokens[len(tokens) // 2 :]
+        super().__init__(row)
         parts = [unpack(x["counts"], "u4").reshape(2, -1) for x in sorted(row["answers"], key=lambda x: x["shard"])]
-        self.counts = np.concatenate(parts, 1)
+        self.counts = np.empty((2, len(self.keys)), "u4")
+        self.counts[:, self.order] = np.concatenate(parts, 1)
         self.vocabulary, self.total = vocabulary, total
-        self.first = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
 
     def of(self, all_: bool, documents_: int) -> tuple[np.ndarray, ...]:
         """Context buckets and the three estimates; from the kept counts, or from all training counts."""
@@ -157,11 +177,6 @@ def _rounded(ratio: np.ndarray) -> np.ndarray:
     return np.where(ratio > 0, np.round((logs + RATIO_BITS) * STEP) + 1, 0).astype("i8")
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    for i in range(batch.num_rows):
-        yield batch.slice(i, 1).to_pylist()[0]
-
-
 def _held_counts(batches: Iterator[pa.RecordBatch], v: tuple, n: tuple, d: tuple) -> Iterator[pa.RecordBatch]:
     """Deleted tokens, counted by context bucket and rounded ratios of bigram and unigram to uniform."""
     side = 2 * RATIO_BITS * STEP + 2
@@ -209,16 +224,17 @@ def score(docs: DataFrame, training: F.Column, deleted: F.Column) -> DataFrame:
     """
     role = F.when(training & deleted, DELETED).when(training, KEPT).otherwise(SCORED)
     rows = docs.select("doc_id", role.alias("role"), F.col("text").cast("binary").alias("text"))
-    blocks = cut(rows.mapInArrow(_blocks, BLOCK_SCHEMA))
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = cut(rows.mapInArrow(_blocks, BLOCK_SCHEMA).repartition(n_parts, "block"))  # later joins by block find it dealt out
     d = blocks.select(F.explode("role").alias("r")).agg(F.count_if(F.col("r") == KEPT), F.count_if(F.col("r") == DELETED)).first()
-    shards = -(-(blocks.agg(F.sum("n_keys")).first()[0] or 1) // SHARD_KEYS)
-    asked = blocks.select("block", "keys", "uses").mapInArrow(lambda b: _ask(b, shards), "shard int, block string, keys binary, uses binary")
+    shards = -(-(blocks.agg(F.sum("n_tokens")).first()[0] or 1) // SHARD_TOKENS)
+    asked = blocks.mapInArrow(lambda b: _ask(b, shards), "shard int, block string, keys binary, uses binary")
     dealt = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
     answers = cut(dealt.mapInArrow(_answer, "shard int, block string, counts binary, sums array<long>"))
     s = answers.agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)) for i in range(4))).first()
     n, v, d = (s[0], s[1]), (s[2], s[3]), tuple(d)
     of_block = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("answers"))
-    whole = blocks.select("block", "doc_id", "role", "length", "tokens").join(of_block, "block").select("doc_id", "role", "length", "tokens", "answers")
+    whole = blocks.join(of_block, "block")
     held = whole.where(F.array_contains("role", DELETED)).mapInArrow(lambda b: _held_counts(b, v, n, d), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     mix = weights(np.array([x.cell for x in held], "i8"), np.array([x.n for x in held], "f8")).tolist()
     scored = whole.mapInArrow(lambda b: _score(b, v, n, d, mix), "doc_id long, n_tokens long, n_known long, base_score double, score double")
