@@ -39,8 +39,8 @@ from .common import cut, documents
 from .hashing import VALUES, mix, powers
 
 LENGTH, MER = 50, 16
-BLOCK_BYTES = 3 << 20
-SHARD_KEYS, SHARD_BYTES = 3 << 20, 4 << 20
+BLOCK_BYTES = 3 << 19
+SHARD_KEYS, SHARD_BYTES = 1 << 20, 3 << 19
 LAST = np.iinfo("i8").max
 BLOCK_SCHEMA = "block string, n_keys long, keys binary, local binary, doc_id array<long>, length array<int>, text binary"
 _NONE = np.uint64(0)
