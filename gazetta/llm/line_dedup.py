@@ -55,18 +55,18 @@ def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFra
 
 
 def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
-    """docs with n_lines, n_removed and kept_text (null for null text) of every row."""
-    gone = repeated_lines(docs, run, long).select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "gone")
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_row"))
-    joined = docs.join(gone, same, "left").drop("gone_id", "gone_row")
+    """docs with n_lines, n_removed and kept_text (null for null text) of every row; columns of docs with these names are replaced."""
+    gone = repeated_lines(docs, run, long).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_row"))
+    joined = docs.join(gone, same, "left").drop("_gone_id", "_gone_row")
     lines = _lines(F.col("text"))
-    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     kept = F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
     return joined.withColumns({
         "n_lines": F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(r"[^ \t\x0B\f\r]"))), F.lit(0)).cast("long"),
-        "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long"),
-        "kept_text": F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept),
-    }).drop("gone")
+        "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+        "kept_text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept),
+    }).drop("_gone")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
