@@ -28,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops documents without letters or in no known language."""
     network = language_id.fit(docs.where("doc_id is not null"))
     found = language_id.predict(docs, network, tuple(docs.columns))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*_carried(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages from texts, and drops documents that mostly consist of them."""
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
-    left = found.where(F.col("coverage") <= MOST_COVERAGE).select("doc.*", F.col("clean_text").alias("clean text"))
+    left = found.where(F.col("coverage") <= MOST_COVERAGE).select(*_carried(docs), F.col("clean_text").alias("clean text"))
     return _with_text(left, docs.columns, F.coalesce(F.col("clean text"), F.col("text")))
 
 
@@ -57,6 +57,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_reuse.digests(encoded, "ids")
 
 
+def _carried(docs: DataFrame) -> list:
+    """The columns of docs, of a frame that has carried them."""
+    return [F.col("text").cast("string").alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+
+
 def _with_text(found: DataFrame, columns: list[str], text) -> DataFrame:
     """`columns` with that text; n_chars follows where the text has changed."""
     changed = ~text.eqNullSafe(F.col("text"))

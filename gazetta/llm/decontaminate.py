@@ -185,11 +185,14 @@ def _cut_spans(text: bytes, spans: list[dict]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finish(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, spans = batch.column("text"), batch.column("spans").to_pylist()
         clean = [_cut_spans(texts[i].as_py(), x).decode("utf-8") if x else None for i, x in enumerate(spans)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc", "n_words", "spans", "items")), pa.array(clean, pa.string())], names=["doc", "n_words", "spans", "items", "clean_text"])
+        out = {k: batch.column(k) for k in ("doc", "n_words", "spans", "items")} | {"clean_text": pa.array(clean, pa.string())}
+        if with_text:
+            out["text"] = texts
+        yield pa.RecordBatch.from_pydict(out)
 
 
 def automata(benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_BYTES) -> Iterator[Automaton]:
@@ -203,13 +206,18 @@ def automata(benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_bytes: int = ITEM_BYTES, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """doc (the carried columns), n_words, n_hit, coverage, spans (of words), items, clean_text (null where nothing is hit)."""
-    out = docs.select(F.struct(*carry).alias("doc"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
+    """doc (the carried columns), n_words, n_hit, coverage, spans (of words), items, clean_text (null where nothing is hit).
+
+    If text is carried, it is a column of its own, as bytes.
+    """
+    with_text = "text" in carry
+    out = docs.select(F.struct(*(c for c in carry if c != "text")).alias("doc"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
     kind = out.schema["doc"].dataType.simpleString()
-    for k, automaton in enumerate([*automata(benchmark, window, item_bytes)] or [Automaton([], window)]):
-        shared = docs.sparkSession.sparkContext.broadcast(automaton)
-        out = (cut(out) if k else out).mapInArrow(lambda batches, a=shared: _mark(batches, a), f"doc {kind}, text binary, {FOUND}")
-    out = out.mapInArrow(_finish, f"doc {kind}, {FOUND}, clean_text string")
+    all_ = [*automata(benchmark, window, item_bytes)] or [Automaton([], window)]
+    shared = [docs.sparkSession.sparkContext.broadcast(a) for a in all_]
+    for a in shared[:-1]:
+        out = cut(out.mapInArrow(lambda batches, a=a: _mark(batches, a), f"doc {kind}, text binary, {FOUND}"))
+    out = out.mapInArrow(lambda batches: _finish(_mark(batches, shared[-1]), with_text), f"doc {kind}, {FOUND}, clean_text string" + ", text binary" * with_text)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return out.withColumn("n_hit", n_hit).withColumn("coverage", F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(F.lit(0.0)))
 

@@ -146,32 +146,37 @@ def has_letter(text: bytes) -> bool:
     return bool(re.search(rb"[A-Za-z]", text) or (not text.isascii() and _LETTER.search(text.decode("utf-8", "replace"))))
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, with_text: bool) -> Iterator[pa.RecordBatch]:
     network: Network | None = shared.value
-    for batch in batches:
-        languages, scores = [], []
-        texts = [x.as_py() or b"" for x in batch.column("text")]
-        for text in texts:
-            if network is None or not has_letter(text):
-                languages.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            logs = network.windows(as_windows(text))
-            bytes_in = np.full(len(logs), WINDOW, "f8")
-            bytes_in[-1] = len(text) - WINDOW * (len(logs) - 1)
-            mean = bytes_in @ logs / bytes_in.sum()
-            share = np.exp(mean - mean.max())
-            best = int(share.argmax())
-            languages.append(network.languages[best])
-            scores.append(float(share[best] / share.sum()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["doc", "lang_pred", "score"])
+
+    def one(text: bytes) -> tuple[str, float]:
+        if network is None or not has_letter(text):
+            return UNKNOWN, 0.0
+        logs = network.windows(as_windows(text))
+        bytes_in = np.full(len(logs), WINDOW, "f8")
+        bytes_in[-1] = len(text) - WINDOW * (len(logs) - 1)
+        mean = bytes_in @ logs / bytes_in.sum()
+        share = np.exp(mean - mean.max())
+        best = int(share.argmax())
+        return network.languages[best], float(share[best] / share.sum())
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, 250):  # few texts at a time are copied
+            batch = whole.slice(at, 250)
+            found = [one(x.as_py() or b"") for x in batch.column("text")]
+            out = {"doc": batch.column("doc"), "lang_pred": pa.array([x for x, _ in found], pa.string()), "score": pa.array([x for _, x in found], pa.float64())}
+            if with_text:
+                out["text"] = batch.column("text")
+            yield pa.RecordBatch.from_pydict(out)
 
 
 def predict(docs: DataFrame, network: Network | None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """doc (the carried columns), lang_pred, score of every text."""
+    """doc (the carried columns), lang_pred, score and, if it is carried, text (as bytes) of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    rows = docs.select(F.struct(*carry).alias("doc"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(lambda batches: _predict(batches, shared), f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double")
+    rows = docs.select(F.struct(*(c for c in carry if c != "text")).alias("doc"), F.col("text").cast("binary").alias("text"))
+    with_text = "text" in carry
+    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double" + ", text binary" * with_text
+    return rows.mapInArrow(lambda batches: _predict(batches, shared, with_text), schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
