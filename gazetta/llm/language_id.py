@@ -30,6 +30,8 @@ from .common import documents
 WINDOW = 512
 #: Windows of the training sample: its documented bound, whatever the input.
 SAMPLE = 6000
+#: Languages that the network tells apart at most, the most frequent ones: the other documented bound.
+LANGUAGES = 500
 WIDTHS, FILTERS = (2, 3, 4), 16
 EPOCHS, BATCH, RATE, SEED = 10, 50, 0.01, 7
 UNKNOWN = "und"
@@ -120,9 +122,9 @@ def sample(labelled: DataFrame, size: int = SAMPLE) -> list:
     """About `size` rows (lang, window), in a fixed order, each language about equally often."""
     rows = labelled.select("lang", "doc_id", F.col("text").cast("binary").alias("b")).where("lang <> '' and length(b) > 0")
     rows = rows.withColumn("n", F.ceil(F.octet_length("b") / WINDOW))
-    counts = rows.groupBy("lang").agg(F.sum("n").alias("windows"))
+    counts = rows.groupBy("lang").agg(F.sum("n").alias("windows")).orderBy(F.desc("windows"), "lang").limit(LANGUAGES)
     n_languages = counts.count()
-    each = rows.join(counts, "lang").select("lang", "doc_id", "b", "windows", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"))
+    each = rows.join(F.broadcast(counts), "lang").select("lang", "doc_id", "b", "windows", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"))
     u = (F.pmod(F.xxhash64("doc_id", "i"), F.lit(1 << 40)) + 1) / float(1 << 40)
     drawn = each.withColumn("key", -F.log(u) * F.col("windows")).where(F.col("key") <= size / max(1, n_languages))
     drawn = drawn.select("key", "lang", F.substring("b", F.col("i") * WINDOW + 1, F.lit(WINDOW)).alias("window")).limit(2 * size)
