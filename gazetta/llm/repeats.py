@@ -40,9 +40,10 @@ from .hashing import VALUES, mix, powers
 
 LENGTH, MER = 50, 16
 BLOCK_BYTES = 3 << 19
-SHARD_KEYS, SHARD_BYTES = 1 << 20, 3 << 19
+#: Bytes of text for each shard that compares minimizers, bytes of fragments for each that compares these, and at once in it.
+SHARD_TEXT, SHARD_BYTES, SORTED_BYTES = 16 << 20, 2 << 20, 1 << 20
 LAST = np.iinfo("i8").max
-BLOCK_SCHEMA = "block string, n_keys long, keys binary, local binary, doc_id array<long>, length array<int>, text binary"
+BLOCK_SCHEMA = "block string, n_bytes long, doc_id array<long>, length array<int>, text binary"
 _NONE = np.uint64(0)
 
 
@@ -52,14 +53,19 @@ def _words(text: np.ndarray) -> np.ndarray:
     return np.ndarray(len(text), ">u8", padded, strides=(1,)).astype("u8")
 
 
+def _mers(text: np.ndarray) -> np.ndarray:
+    """A hash of the MER bytes from each place on; odd, so never _NONE."""
+    eight = _words(text)
+    return mix(eight[: len(text) - 8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(eight[8:])) | np.uint64(1)
+
+
 def fragments(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Minimizer, start, number of strings and document index of each fragment of the block."""
     n = len(text)
     none = np.empty(0, "i8")
     if n < LENGTH:
         return none.astype("u8"), none, none, none
-    eight = _words(text)
-    h = mix(eight[: n - 8] * np.uint64(0x9E3779B97F4A7C15) ^ mix(eight[8:])) | np.uint64(1)
+    h = _mers(text)
     least, width, want = h[: n - MER + 1], 1, LENGTH - MER + 1
     while width * 2 <= want:
         least = np.minimum(least[:-width], least[width:])
@@ -85,17 +91,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, n, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
     def out() -> pa.RecordBatch:
-        text, lengths = np.frombuffer(b"".join(texts), "u1"), np.array([len(x) for x in texts])
-        minimizers, _, _, doc = fragments(text, lengths)
-        who = np.array([LAST if i is None else i for i in ids], "i8")[doc]
-        order = np.lexsort((who, minimizers))
-        keys, first = np.unique(minimizers[order], return_index=True)
-        last = np.append(first[1:], len(order)) - 1
-        local = who[order][first] != who[order][last] if len(keys) else np.empty(0, bool)
-        return pa.RecordBatch.from_arrays([
-            pa.array([f"{part}-{n}"]), pa.array([len(keys)], pa.int64()), pa.array([pack_sorted(keys)], pa.binary()), pa.array([pack(local)], pa.binary()),
-            pa.array([ids], pa.list_(pa.int64())), pa.array([lengths.tolist()], pa.list_(pa.int32())), pa.array([pack(text)], pa.binary()),
-        ], names=["block", "n_keys", "keys", "local", "doc_id", "length", "text"])
+        lengths = [len(x) for x in texts]
+        one = {"block": pa.array([f"{part}-{n}"]), "n_bytes": pa.array([sum(lengths)], pa.int64()), "doc_id": pa.array([ids], pa.list_(pa.int64())), "length": pa.array([lengths], pa.list_(pa.int32()))}
+        return pa.RecordBatch.from_pydict(one | {"text": pa.array([pack(np.frombuffer(b"".join(texts), "u1"))], pa.binary())})
 
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -124,9 +122,17 @@ def _by_shard(batches: Iterator[pa.RecordBatch], answer) -> Iterator[pa.RecordBa
 
 
 def _ask_shared(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """A block's distinct minimizers, and whether two of its own documents have them."""
     for batch in batches:
-        for row in batch.to_pylist():
-            keys, local = unpack_sorted(row["keys"]), unpack(row["local"], "u1")
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            ids = np.array([LAST if x is None else x for x in row["doc_id"]], "i8")
+            minimizers, _, _, doc = fragments(unpack(row["text"], "u1"), np.array(row["length"], "i8"))
+            who = ids[doc]
+            order = np.lexsort((who, minimizers))
+            keys, first = np.unique(minimizers[order], return_index=True)
+            last = np.append(first[1:], len(order)) - 1
+            local = who[order][first] != who[order][last] if len(keys) else np.empty(0, bool)
             own = shares(keys, shards)
             yield pa.RecordBatch.from_arrays([pa.array([s for s, _, _ in own], pa.int32()), pa.array([row["block"]] * len(own), pa.string()), pa.array([pack_sorted(keys[a:b]) for _, a, b in own], pa.binary()), pa.array([pack(local[a:b]) for _, a, b in own], pa.binary())], names=["shard", "block", "keys", "local"])
 
@@ -210,32 +216,54 @@ def earliest(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarra
     return np.minimum.reduceat(samples, groups)[depth.astype("i8")]
 
 
-def _answer_earliest(rows: list[dict]) -> pa.RecordBatch:
-    sizes = [unpack(r["sizes"], "i4").astype("i8") for r in rows]
-    all_sizes = np.concatenate(sizes)
-    text = np.concatenate([unpack(r["bytes"], "u1") for r in rows])
-    docs = np.concatenate([unpack(r["docs"], "i8") for r in rows])
-    starts = np.cumsum(all_sizes) - all_sizes
-    hashes = fragment_hashes(text, starts, all_sizes)
-    _, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-    least = np.full(len(first), LAST)
-    np.minimum.at(least, at, docs)
-    own = all_sizes[first]
-    found = earliest(text[gather(starts[first], own)], own, least)
-    # run-length coded for each distinct fragment
-    counts = own - LENGTH + 1
+def _runs(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """earliest(), run-length coded for each fragment: values, lengths, and runs of each fragment."""
+    found = earliest(text, sizes, docs)
+    counts = sizes - LENGTH + 1
     begin = np.cumsum(counts) - counts
     new = np.concatenate([[True], found[1:] != found[:-1]])
     new[begin] = True
     heads = np.flatnonzero(new)
-    lengths = np.diff(np.append(heads, len(found)))
-    run_first = np.searchsorted(heads, begin)
-    run_counts = np.diff(np.append(run_first, len(heads)))
+    firsts = np.searchsorted(heads, begin)
+    return found[heads], np.diff(np.append(heads, len(found))), np.diff(np.append(firsts, len(heads)))
+
+
+def _answer_earliest(rows: list[dict]) -> pa.RecordBatch:
+    texts, sizes, docs, hashes, minimizers = [], [], [], [], []
+    for r in rows:
+        text, own = unpack(r["bytes"], "u1"), unpack(r["sizes"], "i4").astype("i8")
+        starts = np.cumsum(own) - own
+        texts.append(text)
+        sizes.append(own)
+        docs.append(unpack(r["docs"], "i8"))
+        hashes.append(fragment_hashes(text, starts, own))
+        # all strings of a fragment have one minimizer: the least hash inside it
+        minimizers.append(np.minimum.reduceat(_mers(np.append(text, np.zeros(MER, "u1"))), np.stack([starts, starts + own - MER + 1], 1).ravel())[::2])
+    text, all_sizes = np.concatenate(texts), np.concatenate(sizes)
+    starts = np.cumsum(all_sizes) - all_sizes
+    _, first, at = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    least = np.full(len(first), LAST)
+    np.minimum.at(least, at, np.concatenate(docs))
+    # strings with different minimizers differ, so a shard is sorted by parts
+    m = np.concatenate(minimizers)[first]
+    order = np.argsort(m, kind="stable")
+    place = np.empty(len(order), "i8")
+    place[order] = np.arange(len(order))
+    first, at, least, m = first[order], place[at], least[order], m[order]
+    part = (np.cumsum(all_sizes[first]) // SORTED_BYTES)[np.searchsorted(m, m)]  # a minimizer's fragments stay together
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(first)]
+    values, lengths, per = ([np.empty(0, "i8")] for _ in range(3))
+    for a, b in zip(edges, edges[1:], strict=False):
+        own = all_sizes[first[a:b]]
+        for to, x in zip((values, lengths, per), _runs(text[gather(starts[first[a:b]], own)], own, least[a:b]), strict=True):
+            to.append(x)
+    values, lengths, per = (np.concatenate(x) for x in (values, lengths, per))
+    begin = np.cumsum(per) - per
     out: list[tuple] = []
     ends = np.cumsum([0, *map(len, sizes)])
     for a, b in zip(ends, ends[1:], strict=False):
-        runs = gather(run_first[at[a:b]], run_counts[at[a:b]])
-        out.append((pack(found[heads[runs]]), pack(lengths[runs].astype("i4"))))
+        runs = gather(begin[at[a:b]], per[at[a:b]])
+        out.append((pack(values[runs]), pack(lengths[runs].astype("i4"))))
     return pa.RecordBatch.from_arrays([pa.array([r["shard"] for r in rows], pa.int32()), pa.array([r["block"] for r in rows]), pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())], names=["shard", "block", "first", "runs"])
 
 
@@ -271,12 +299,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     made = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA)
     blocks = cut(made.repartition(n, "block"))  # later joins by block find it dealt out
-    shards = -(-(blocks.agg(F.sum("n_keys")).first()[0] or 1) // SHARD_KEYS)
-    asked = blocks.select("block", "keys", "local").mapInArrow(lambda b: _ask_shared(b, shards), "shard int, block string, keys binary, local binary")
+    shards = -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 1) // SHARD_TEXT) or 1
+    asked = blocks.select("block", "doc_id", "length", "text").mapInArrow(lambda b: _ask_shared(b, shards), "shard int, block string, keys binary, local binary")
     dealt = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
     shared = cut(dealt.mapInArrow(lambda b: _by_shard(b, _answer_shared), "shard int, block string, shared binary, n_shared long"))
     # a fragment has some 67 bytes on average
-    more = -(-67 * (shared.agg(F.sum("n_shared")).first()[0] or 1) // SHARD_BYTES)
+    more = -(-67 * (shared.agg(F.sum("n_shared")).first()[0] or 1) // SHARD_BYTES) or 1
     texts = blocks.select("block", "doc_id", "length", "text").join(shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared")), "block", "left")
     parts = texts.mapInArrow(lambda b: _ask_earliest(b, more), "shard int, block string, sizes binary, docs binary, bytes binary")
     sent = parts.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
