@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.llm import bpe_reuse, decontaminate, language_id, line_dedup, near_dedup
-from gazetta.llm.common import documents, scratch, table
+from gazetta.llm.common import cut, documents, if_small, scratch, table
 
 #: A document whose best language has a smaller share than this is in no known language.
 LEAST_SCORE = 0.35
@@ -40,8 +40,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each near-duplicate component."""
-    gone = near_dedup.near_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = cut(near_dedup.near_components(docs).where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(if_small(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

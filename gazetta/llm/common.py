@@ -35,6 +35,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Up to so many numbers a frame is broadcast instead of dealing out the texts it is joined to.
+SMALL = 2_000_000
+
+
+def if_small(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """df, marked for broadcast if it holds at most SMALL rows (or sum of weights); df must be cut, as it is counted.
+
+    The rows are numbers, so this bounds the size. Beyond it the join deals both sides out.
+    """
+    n = df.agg(F.coalesce(F.sum(weight if weight is not None else F.lit(1)), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= SMALL else df
+
+
 def hottest(df: DataFrame, *keys: str, weight: Column | None = None, floor: int = HOT_FLOOR) -> DataFrame:
     """The at most HOT_KEYS keys with most rows: small enough to broadcast at any input size."""
     counts = df.groupBy(*keys).agg((F.sum(weight) if weight is not None else F.count(F.lit(1))).alias("n_hot"))

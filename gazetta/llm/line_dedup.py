@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import cut, documents, if_small
 
 RUN, LONG = 3, 200
 
@@ -56,7 +56,8 @@ def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFra
 
 def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
     """docs with n_lines, n_removed and kept_text (null for null text) of every row; columns of docs with these names are replaced."""
-    gone = repeated_lines(docs, run, long).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
+    found = cut(repeated_lines(docs, run, long))
+    gone = if_small(found, 3 + F.size("gone")).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
     same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_row"))
     joined = docs.join(gone, same, "left").drop("_gone_id", "_gone_row")
     lines = _lines(F.col("text"))

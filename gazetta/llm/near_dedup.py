@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents
+from .common import cut, documents, if_small
 from .components import components
 from .hashing import combine, mix, shingles
 
@@ -234,7 +234,7 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = cut(_pairs(buckets))
     members = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short")
     members = cut(members)
-    texts = cut(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
+    texts = cut(as_bytes.join(if_small(members.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi"))
     links, tested = cut(verified(texts, pairs, percent)), pairs
     comps = components(links)
     for proposals in itertools.accumulate(itertools.repeat(GROWTH), operator.mul, initial=PROPOSALS):
