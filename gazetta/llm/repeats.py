@@ -296,9 +296,7 @@ def _cut_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte ranges), kept (the other bytes) of every text."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    made = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA)
-    blocks = cut(made.repartition(n, "block"))  # later joins by block find it dealt out
+    blocks = cut(docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA))
     shards = -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 1) // SHARD_TEXT) or 1
     asked = blocks.select("block", "doc_id", "length", "text").mapInArrow(lambda b: _ask_shared(b, shards), "shard int, block string, keys binary, local binary")
     dealt = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
