@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blobs import gather, pack, pack_sorted, shares, unpack, unpack_sorted
-from .common import cut, documents
+from .common import cut, documents, if_small
 from .hashing import VALUES, mix, powers
 
 LENGTH, MER = 50, 16
@@ -303,7 +303,8 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     shared = cut(dealt.mapInArrow(lambda b: _by_shard(b, _answer_shared), "shard int, block string, shared binary, n_shared long"))
     # a fragment has some 67 bytes on average
     more = -(-67 * (shared.agg(F.sum("n_shared")).first()[0] or 1) // SHARD_BYTES) or 1
-    texts = blocks.select("block", "doc_id", "length", "text").join(shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared")), "block", "left")
+    flags = cut(shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared"), F.sum(F.length("shared")).alias("n_flags")))
+    texts = blocks.select("block", "doc_id", "length", "text").join(if_small(flags, F.col("n_flags") / 8), "block", "left").drop("n_flags")
     parts = texts.mapInArrow(lambda b: _ask_earliest(b, more), "shard int, block string, sizes binary, docs binary, bytes binary")
     sent = parts.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
     answers = cut(sent.mapInArrow(lambda b: _by_shard(b, _answer_earliest), "shard int, block string, first binary, runs binary"))
