@@ -16,7 +16,7 @@ def rolling_counts(rows: DataFrame, key: str, second: str, spans: dict[str, int]
     counts = rows.groupBy(F.col(key).alias("k"), F.col(second).cast("long").alias("s")).agg(F.count(F.lit(1)).alias("n"))
     # a probe at p counts all rows up to p: at the second itself, and just before the span
     probes = F.array(F.struct(F.col("s").alias("p"), F.lit(None).cast("string").alias("span")), *(F.struct((F.col("s") - length - 1).alias("p"), F.lit(name).alias("span")) for name, length in spans.items()))
-    marks = counts.select("k", "s", F.when(F.lit(True), F.col("n")).alias("n"), F.explode(probes).alias("x")).select("k", "s", "x.p", "x.span", F.when(F.col("x.span").isNull(), F.col("n")).otherwise(0).alias("n"))
+    marks = counts.select("k", "s", "n", F.explode(probes).alias("x")).select("k", "s", "x.p", "x.span", F.when(F.col("x.span").isNull(), F.col("n")).otherwise(0).alias("n"))
     marks = marks.withColumn("bucket", F.floor(F.col("p") / bucket_s))
     inside = Window.partitionBy("k", "bucket").orderBy("p").rangeBetween(Window.unboundedPreceding, 0)
     totals = counts.groupBy("k", F.floor(F.col("s") / bucket_s).alias("b")).agg(F.sum("n").alias("t"))

@@ -62,7 +62,7 @@ def documents(rows: DataFrame) -> DataFrame:
 def facet(docs: DataFrame, *fields: str, top: int = 5) -> DataFrame:
     """field, value, n: the most frequent values of each field; of arrays, the elements."""
     kinds = dict(docs.dtypes)
-    parts = [F.when(F.lit(True), F.col(f)) if kinds[f].startswith("array") else F.array(F.col(f).cast("string")) for f in fields]
+    parts = [F.col(f) if kinds[f].startswith("array") else F.array(F.col(f).cast("string")) for f in fields]
     each = docs.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), p.alias("values")) for f, p in zip(fields, parts, strict=True)))).alias("x"))
     counts = each.select("x.field", F.explode("x.values").alias("value")).where("value is not null").groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
     place = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("n"), "value"))
