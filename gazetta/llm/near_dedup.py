@@ -43,9 +43,9 @@ from .hashing import combine, mix, shingles
 WIDTH, PERCENT = 5, 75
 ROWS, BANDS = 6, 64
 T = ROWS * BANDS
-CLOSE = 0.64
+CLOSE = 0.655
 #: Pairs that a node proposes in a bucket in the first round, and the factor for each later one.
-PROPOSALS, GROWTH = 4, 8
+PROPOSALS, GROWTH = 16, 16
 #: Partners of a node that are verified in one task.
 PARTNERS = 500
 
@@ -72,6 +72,18 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return combine([np.arange(BANDS, dtype="u8"), *(cells[:, i] for i in range(ROWS))], 5)
 
 
+def _halves(s: np.ndarray) -> bytes:
+    """A sketch cut to four bits for each coordinate."""
+    c = mix(s).astype("u1") & 15
+    return (c[::2] | (c[1::2] << 4)).tobytes()
+
+
+def _whole(short: bytes, n: int) -> np.ndarray:
+    """The coordinates of n sketches cut by _halves."""
+    pairs = np.frombuffer(short, "u1").reshape(n, T // 2)
+    return np.stack([pairs & 15, pairs >> 4], 2).reshape(n, T)
+
+
 def set_key(elements: np.ndarray) -> tuple[int, int]:
     """128 bits that equal sets share."""
     return int(mix(elements).sum(dtype="u8").astype("i8")), int(np.bitwise_xor.reduce(mix(elements ^ np.uint64(0x5851F42D4C957F2D))).astype("i8"))
@@ -82,7 +94,7 @@ def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Lis
 
 
 def _sets(batches: Iterator[pa.RecordBatch], sketches: bool) -> Iterator[pa.RecordBatch]:
-    """doc_id, n, k1, k2 and, if asked for, the band keys and the sketches cut to a byte for each coordinate."""
+    """doc_id, n, k1, k2 and, if asked for, the band keys and the sketches cut to four bits for each coordinate."""
     for whole in batches:
         for at in range(0, whole.num_rows, 1000):
             batch = whole.slice(at, 1000)
@@ -96,7 +108,7 @@ def _sets(batches: Iterator[pa.RecordBatch], sketches: bool) -> Iterator[pa.Reco
                 if sketches:
                     s = sketch(own) if len(own) else None
                     bands.append(band_keys(s).view("i8") if len(own) else np.empty(0, "i8"))
-                    short.append(mix(s).astype("u1").tobytes() if len(own) else b"")
+                    short.append(_halves(s) if len(own) else b"")
             out = {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64())}
             if sketches:
                 out |= {"bands": _lists(np.concatenate(bands), np.array([len(x) for x in bands]), pa.int64()), "short": pa.array(short, pa.binary())}
@@ -186,7 +198,7 @@ def _close(rows: list[tuple], proposals: int) -> np.ndarray:
     A pair is looked at in the first of the buckets that its nodes share, and in no other.
     """
     node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
-    s = np.frombuffer(b"".join(r[3] for r in rows), "u1").reshape(len(rows), T)
+    s = _whole(b"".join(r[3] for r in rows), len(rows))
     tested, band = [set(r[4] or ()) for r in rows], rows[0][5]
     names, counts = np.unique(comp, return_counts=True)
     out = []
