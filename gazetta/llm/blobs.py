@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import zstandard
 
-_ZIP = zstandard.ZstdCompressor(level=1)
+_ZIP = zstandard.ZstdCompressor(level=3)
 
 
 def pack(x: np.ndarray) -> bytes:

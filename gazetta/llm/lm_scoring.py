@@ -18,7 +18,7 @@ the size of the vocabulary, and the held-out counts by rounded ratios of the thr
 Defined results: null and empty texts are the end token alone; a null doc_id is never learned from
 and is not held out; repeated rows are learned and scored one by one; without training tokens the
 estimates fall back to the uniform one; extra columns are ignored; an empty table gives an empty
-result. Words are told apart by 64-bit hashes.
+result. Words are told apart by 63 bits of a hash, bigrams by 55.
 """
 
 from __future__ import annotations
@@ -47,21 +47,23 @@ _END = np.uint64(0x1B873593CC9E2D51)
 _START = np.uint64(0x85EBCA6BC2B2AE35)
 #: Tokens of all blocks for each shard that adds up their n-grams.
 SHARD_TOKENS = 3 << 20
+#: Bigrams have this bit, words have not; the last byte of bigrams is left out, most of what travels is bigrams.
+_PAIR, _KEPT_BITS = np.uint64(1 << 63), np.uint64((1 << 64) - 256)
 BLOCK_SCHEMA = "block string, n_tokens long, doc_id array<long>, role array<int>, length array<int>, words binary, tokens binary"
 #: Roles of documents: scored only, training, training but deleted from the counts that the weights are learned with.
 SCORED, KEPT, DELETED = 0, 1, 2
 
 
 def _block(name: str, rows: list[tuple]) -> dict:
-    """A block's distinct words as sorted even hashes, and its tokens as indices of these."""
+    """A block's distinct words as sorted hashes without the top bit, and its tokens as indices of these."""
     lengths = [len(words) + 1 for _, _, words in rows]
-    words, at = np.unique(np.concatenate([np.append(w, _END) for _, _, w in rows]) & ~np.uint64(1), return_inverse=True)
+    words, at = np.unique(np.concatenate([np.append(w, _END) for _, _, w in rows]) >> np.uint64(1), return_inverse=True)
     planes = at.astype("<u4").view("u1").reshape(-1, 4).T
     return {"block": name, "n_tokens": sum(lengths), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths, "words": pack_sorted(words), "tokens": pack(planes)}
 
 
 class Grams:
-    """The n-grams of a block: distinct words, then distinct bigrams as odd hashes, and where each token has its own."""
+    """The n-grams of a block: distinct words, then distinct bigrams as hashes with the top bit, and where each token has its own."""
 
     def __init__(self, row: dict):
         self.lengths, self.roles = np.array(row["length"]), np.array(row["role"])
@@ -71,7 +73,7 @@ class Grams:
         own = words[self.word_at]
         before = np.concatenate([[_START], own[:-1]])
         before[self.first] = _START
-        pairs, at = np.unique(combine([before, own], 2) | np.uint64(1), return_inverse=True)
+        pairs, at = np.unique((combine([before, own], 2) | _PAIR) & _KEPT_BITS, return_inverse=True)
         self.pair_at = at + len(words)
         self.keys = np.concatenate([words, pairs])
         self.order = np.argsort(self.keys)
@@ -129,7 +131,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses = np.concatenate([unpack(u, "u4").reshape(2, -1) for _, _, _, u in rows], 1).astype("f8")
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         kept, deleted = (np.bincount(at, w, len(distinct)).astype("u4") for w in uses)
-        word = (distinct & np.uint64(1)) == 0
+        word = distinct < _PAIR
         ends = np.cumsum([0, *(len(k) for k in keys)])
         counts = [pack(np.stack([kept[at[a:b]], deleted[at[a:b]]])) for a, b in zip(ends, ends[1:], strict=False)]
         all_ = (kept + deleted)[word]
