@@ -195,20 +195,21 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataF
 def _close(rows: list[tuple], proposals: int) -> np.ndarray:
     """Untested pairs of one bucket's nodes in different components: for each node outside the largest one its best.
 
-    A pair is looked at in the first of the buckets that its nodes share, and in no other.
+    A pair is looked at in the first of the buckets that its nodes share, and in no other: rows end
+    with the node's keys of earlier bands, 0 where no other component has the key.
     """
     node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
     s = _whole(b"".join(r[3] for r in rows), len(rows))
-    tested, band = [set(r[4] or ()) for r in rows], rows[0][5]
+    tested, earlier = [set(r[4] or ()) for r in rows], np.stack([r[5] for r in rows])
     names, counts = np.unique(comp, return_counts=True)
     out = []
     for i in np.flatnonzero(comp != names[counts.argmax()]).tolist():
         rest = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
         found = []
         for k in range(0, len(rest), 4096):
-            same = s[rest[k : k + 4096]] == s[i]
-            agree = same.sum(1)
-            own = np.flatnonzero((agree >= CLOSE * T) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band))
+            agree = (s[rest[k : k + 4096]] == s[i]).sum(1)
+            own = np.flatnonzero(agree >= CLOSE * T)
+            own = own[~((earlier[rest[k + own]] == earlier[i]) & (earlier[i] != 0)).any(1)]
             found += zip((-agree[own]).tolist(), rest[k + own].tolist(), strict=True)
         me = int(node[i])
         fresh = ((me, int(node[j])) for _, j in sorted(found) if int(node[j]) not in tested[i] and me not in tested[j])
@@ -225,7 +226,9 @@ def _across(batches: Iterator[pa.RecordBatch], proposals: int) -> Iterator[pa.Re
 
     key, rows = None, []
     for batch in batches:
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested", "band")), strict=True):
+        lists = batch.column("earlier")
+        earlier = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]) if batch.num_rows else []
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested")), earlier, strict=True):
             if k != key:
                 if rows:
                     yield pairs(rows)
@@ -253,8 +256,10 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         placed = members.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("comp"), F.posexplode("bands").alias("band", "key"))
         several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         before = tested.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("tested"))
-        mixed = placed.join(several, "key").join(members.select("node", "n", "short"), "node").join(before, "node", "left")
-        dealt = mixed.select("key", "node", "n", "comp", "short", "tested", "band").repartition(F.col("key")).sortWithinPartitions("key", "node")
+        shared = placed.join(several, "key").groupBy("node", "comp").agg(F.collect_list(F.struct("band", "key")).alias("own"))
+        masked = F.transform("bands", lambda k: F.when(F.array_contains("own.key", k), k).otherwise(F.lit(0).cast("long"))).alias("masked")
+        mixed = shared.join(members, "node").join(before, "node", "left").select("node", "n", "comp", "short", "tested", masked, F.explode("own").alias("x"))
+        dealt = mixed.select("x.key", "node", "n", "comp", "short", "tested", F.slice("masked", 1, F.col("x.band")).alias("earlier")).repartition(F.col("key")).sortWithinPartitions("key", "node")
         more = cut(dealt.mapInArrow(lambda batches, p=proposals: _across(batches, p), "a long, b long").distinct())
         if more.isEmpty():
             break

@@ -220,6 +220,25 @@ def test_near_dedup_keeps_chains_and_ignores_common_passages(spark):
     assert all(out[i].component_id == i for i in ids[len(chain) :])
 
 
+def test_near_dedup_finds_links_whose_buckets_are_led_by_others(spark):
+    """In each group 20 texts with smaller ids, near neither, lead the buckets of the last two, of similarity 0.77."""
+    r, texts = random.Random(9), []
+    for g in range(100):
+        base = [f"g{g}w{i}" for i in range(204)]
+        places = r.sample(range(5, 200, 6), 30)
+        for k in range(22):
+            own = list(base)
+            for at in r.sample(places[5:], 6) if k < 20 else places[:2] if k == 20 else places[2:5]:
+                own[at] = f"g{g}k{k}at{at}"
+            texts.append(" ".join(own))
+    got = by_id(near_dedup.near_components(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")))
+    sets = [shingle_set(t) for t in texts]
+    for g in range(0, len(texts), 22):
+        assert all(100 * len(sets[g + i] & sets[j]) < 75 * len(sets[g + i] | sets[j]) for i in range(20) for j in (g + 20, g + 21))
+        assert 100 * len(sets[g + 20] & sets[g + 21]) >= 75 * len(sets[g + 20] | sets[g + 21])
+        assert got[g + 21].component_id == g + 20
+
+
 def test_sketch_fills_and_estimates():
     r = np.random.default_rng(0)
     for n in (1, 3, 50, 5000):
