@@ -1,18 +1,19 @@
 """Licence scans with a positional rare-token index, with DataFrame operations only.
 
 Licence texts are templates of words. Their words (but the commonest) form an index of postings
-(word, template, position). Every document's words are looked up in it; document frequencies over
-all documents give each word's IDF. Of each document the RARE licence words with the highest IDF
-vote: a word at place p that a template has at position q votes for that template starting at
-p - q. A start with enough votes holds the template's words in their relative positions; it counts
-if the template's mandatory key phrase stands at its own relative position as well. The phrases of
-the base list are found in the same look-up, wherever their words stand consecutively.
+(word, template, position). Every document's words are looked up in it. A word at place p that a
+template has at position q votes for that template starting at p - q. A start with enough votes
+holds the template's words in their relative positions; it counts if the template's mandatory key
+phrase stands at its own relative position as well, so votes are counted at such starts only. All
+words vote, in a document of any length: a choice of rare ones by document would go to one licence
+and miss the others. The phrases of the base list are found in the same look-up, wherever their
+words stand consecutively.
 
 Only the words found in the index are shuffled, by document; the templates are fixed and small.
 
 Defined results: null text is empty; a document without licence words has no labels, null places
 and score 0; documents with a base phrase score 1, others the share of the best template's indexed
-words that voted or stand in place; rows that repeat both doc_id and text are all returned, with
+words that stand in place; rows that repeat both doc_id and text are all returned, with
 the places of one of them; extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut, documents
 
-#: Words of highest IDF that vote in each document, and the votes a start needs.
-RARE, VOTES = 12, 3
+#: The votes a start needs.
+VOTES = 3
 
 # Phrases that count wherever they stand, with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -109,22 +110,19 @@ def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     base = stands.where("template is null").select("doc_id", "row", "p", "label")
     keys = stands.where("template is not null").select("doc_id", "row", "template", (F.col("p") - F.col("at")).alias("start")).distinct()
     words = hits.where("word is not null").select("doc_id", "row", "p", "word")
-    frequency = words.select("doc_id", "row", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    idf = frequency.select("word", F.log((docs.count() + 1) / F.col("df")).alias("idf"))
-    of_file = words.join(F.broadcast(idf), "word").groupBy("doc_id", "row", "word", "idf").agg(F.collect_set("p").alias("places"))
-    rare = of_file.groupBy("doc_id", "row").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("idf")).alias("minus"), "word", "places"))), 1, RARE).alias("top"))
-    rare = rare.select("doc_id", "row", F.explode("top").alias("t")).select("doc_id", "row", "t.word", F.explode("t.places").alias("p"))
-    votes = rare.join(F.broadcast(post), "word").groupBy("doc_id", "row", "template", "label", "indexed", (F.col("p") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("votes"))
+    # of each start with its key phrase, the words of its template and where they should stand
+    due = keys.join(F.broadcast(post), "template").select("doc_id", "row", "template", "label", "indexed", "start", "at", "word", (F.col("start") + F.col("at")).alias("p"))
+    stand = due["doc_id"].eqNullSafe(words["doc_id"]) & (due["row"] == words["row"]) & (due["p"] == words["p"]) & (due["word"] == words["word"])
+    votes = due.join(words, stand, "left_semi").groupBy("doc_id", "row", "template", "label", "indexed", "start").agg(F.countDistinct("at").alias("votes"))
     enough = votes.where(F.col("votes") >= F.least(F.lit(VOTES), F.col("indexed")))
-    same = enough["doc_id"].eqNullSafe(keys["doc_id"]) & (enough["row"] == keys["row"]) & (enough["template"] == keys["template"]) & (enough["start"] == keys["start"])
-    return counted, base, enough.join(keys, same, "left_semi")
+    return counted, base, enough
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
     counted, base, verified = scan(docs)
     of_base = base.select("doc_id", "row", "label", "p", F.lit(1.0).alias("share"))
-    of_templates = verified.select("doc_id", "row", "label", F.lit(None).cast("long").alias("p"), F.least(F.lit(1.0), F.col("votes") / F.least(F.lit(RARE), F.col("indexed"))).alias("share"))
+    of_templates = verified.select("doc_id", "row", "label", F.lit(None).cast("long").alias("p"), (F.col("votes") / F.col("indexed")).alias("share"))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     found = of_base.unionByName(of_templates).groupBy("doc_id", "row").agg(
         F.count("p").alias("n_base"), F.min("p").alias("first_word"), F.max("p").alias("last_word"),

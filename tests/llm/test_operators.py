@@ -307,6 +307,17 @@ def test_licenses(spark, docs, texts, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_licenses_finds_several_in_one_long_text(spark):
+    text = {label: words for label, words, _ in reversed(licenses.TEMPLATES)}
+    full = {label: max((w for x, w, _ in licenses.TEMPLATES if x == label), key=len) for label in text}
+    prose = " ".join(["person files copy source purpose software deed waiving mozilla affero creative dedicated"] * 300)
+    sets = [["mit", "apache-2.0"], ["bsd", "mit"], ["apache-2.0", "bsd", "gpl-3.0", "mit"], ["mit"], sorted(full)]
+    data = [(i, f" {prose} ".join([full, text][i == 1][k] for k in labels) + f" {prose}") for i, labels in enumerate(sets)]
+    got = by_id(licenses.license_scan(spark.createDataFrame(data, "doc_id long, text string")))
+    for i, labels in enumerate(sets):
+        assert set(labels) <= set(got[i].labels.split(",")) and got[i].score == 1.0
+
+
 def test_native_operators_run_no_python(docs):
     for df in (exact_dedup.exact_dedup(docs), line_dedup.line_dedup(docs), licenses.license_scan(docs)):
         assert not re.search("Python|Pandas|MapInArrow|ArrowEval", df._jdf.queryExecution().executedPlan().toString())
