@@ -32,8 +32,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deletes later repeats of runs of lines, and documents of which nothing is left by that."""
-    found = line_dedup.line_dedup(docs)
+    """Deletes later repeats of runs of lines or of whole-line passages of over 50 words, and documents of which nothing is left by that."""
+    found = line_dedup.line_dedup(docs, words=line_dedup.WORDS)
     left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return _with_text(left, docs.columns, F.col("kept_text"))
 

@@ -6,7 +6,10 @@ stand, have the same one. Fingerprints that stand at one position only in all do
 dropped; around the others the matches are extended line by line to both sides: every window that
 holds the fingerprint as its minimum is compared with the equal ones, and the first in order of
 (doc_id, position) stays. Lines of later windows are deleted, so a whole repeated run of RUN or
-more lines goes. A line of LONG or more characters is a run by itself.
+more lines goes. A line of LONG or more characters is a run by itself. With `words`, so are fewer
+lines than RUN that together have LONG characters or more than `words` words: then every passage of
+more words that fills whole lines has a window. The query is without, as its SQL fixes the rule; the
+pipeline's stage is with WORDS.
 
 Counts and first places are pre-aggregated on the map side; the joins back have plain exchanges on
 both sides, whose hot partitions Spark splits.
@@ -25,27 +28,39 @@ from pyspark.sql import functions as F
 from .common import cut, documents, if_small
 
 RUN, LONG = 3, 200
+#: Of the pipeline: a repeated passage of more words than this goes, however few its lines.
+WORDS = 50
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def windows(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
+def _few(n: int, long: int, words: int) -> Column:
+    """The windows of n lines that together have enough characters or words."""
+    total = lambda i, c: sum((F.get("l", i + k)[c] for k in range(1, n)), F.get("l", i)[c])
+    own = lambda i, c: F.transform(F.slice("l", i + 1, n), lambda x: x[c])
+    starts = F.filter(F.sequence(F.lit(0), F.size("l") - n), lambda i: (total(i, "chars") >= long) | (total(i, "words") > words))
+    return F.coalesce(F.when(F.size("l") >= n, F.transform(starts, lambda i: F.struct(own(i, "i").alias("at"), own(i, "h").alias("h"), own(i, "g").alias("g")))), F.array())
+
+
+def windows(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
     """doc_id, row, at (array of line numbers), k1, k2 (the window's lines), print (its fingerprint)."""
-    line = lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), (F.char_length(x) >= long).alias("long"), x.rlike(r"[^ \t\x0B\f\r]").alias("full"))
+    size = lambda x: [] if words is None else [F.char_length(x).alias("chars"), F.regexp_count(x, F.lit(r"[^ \t\x0B\f\r]+")).alias("words")]
+    line = lambda x, i: F.struct(*size(x), i.alias("i"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), (F.char_length(x) >= long).alias("long"), x.rlike(r"[^ \t\x0B\f\r]").alias("full"))
     own = F.filter(F.transform(_lines(F.col("text")), line), lambda x: x["full"])
     lines = docs.select("doc_id", F.xxhash64("text").alias("row"), own.alias("l"))
     at = lambda i: F.slice("l", i + 1, run)
     runs = F.when(F.size("l") >= run, F.transform(F.sequence(F.lit(0), F.size("l") - run), lambda i: F.struct(F.transform(at(i), lambda x: x["i"]).alias("at"), F.transform(at(i), lambda x: x["h"]).alias("h"), F.transform(at(i), lambda x: x["g"]).alias("g"))))
-    ones = F.transform(F.filter("l", lambda x: x["long"]), lambda x: F.struct(F.array(x["i"]).alias("at"), F.array(x["h"]).alias("h"), F.array(x["g"]).alias("g")))
-    each = lines.select("doc_id", "row", F.explode(F.concat(F.coalesce(runs, F.array()), ones)).alias("w"))
+    ones = F.transform(F.filter("l", lambda x: x["long"] if words is None else x["long"] | (x["words"] > words)), lambda x: F.struct(F.array(x["i"]).alias("at"), F.array(x["h"]).alias("h"), F.array(x["g"]).alias("g")))
+    few = [_few(n, long, words) for n in range(2, run)] if words is not None else []
+    each = lines.select("doc_id", "row", F.explode(F.concat(F.coalesce(runs, F.array()), ones, *few)).alias("w"))
     return each.select("doc_id", "row", F.col("w.at").alias("at"), F.xxhash64("w.h").alias("k1"), F.xxhash64("w.g").alias("k2"), F.array_min("w.h").alias("print"))
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
     """doc_id, row, gone: the line numbers that are deleted from a document."""
-    all_ = cut(windows(docs, run, long))
+    all_ = cut(windows(docs, run, long, words))
     place = F.struct("doc_id", "row", F.col("at")[0].alias("p"))
     prints = cut(all_.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("print"))
     open_ = cut(all_.join(prints, "print").drop("print"))
@@ -54,9 +69,9 @@ def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFra
     return later.select("doc_id", "row", F.explode("at").alias("i")).groupBy("doc_id", "row").agg(F.collect_set("i").alias("gone"))
 
 
-def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
+def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
     """docs with n_lines, n_removed and kept_text (null for null text) of every row; columns of docs with these names are replaced."""
-    found = cut(repeated_lines(docs, run, long))
+    found = cut(repeated_lines(docs, run, long, words))
     gone = if_small(found, 3 + F.size("gone")).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
     same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_row"))
     joined = docs.join(gone, same, "left").drop("_gone_id", "_gone_row")

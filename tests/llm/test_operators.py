@@ -106,6 +106,42 @@ def test_line_dedup(spark, empty):
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def test_pipeline_deletes_passages_of_over_50_words(spark):
+    import corpus_pipeline
+
+    line = lambda n, w, k: " ".join(f"{w}{i:0{k}}" for i in range(n))
+    passages = [line(26, "a", 5) + "\n\n" + line(25, "b", 5), line(51, "c", 1), line(26, "d", 2) + "\n" + line(25, "e", 2)]
+    short = line(25, "f", 2) + "\n" + line(25, "g", 2)
+    assert all(len(x) < 200 for p in [*passages, short] for x in p.split("\n"))
+    texts = [f"own {d}\n{p}\nend {d}" for d, p in enumerate([*passages, short] * 2)] + [None, ""]
+    data = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = by_id(corpus_pipeline.drop_repeated_lines(spark, data, ""))
+    for d in range(8):
+        assert got[d].text == (texts[d] if d < 4 or d == 7 else f"own {d}\n" + "\n" * (d == 4) + f"end {d}")
+    assert all(r.n_removed == 0 for r in line_dedup.line_dedup(data).collect())
+
+
+def test_line_dedup_of_sizes_by_brute_force(spark):
+    r = random.Random(8)
+    pool = [" ".join(["y" * r.choice([1, 9])] * r.choice([1, 3, 5])) + f" {i}" for i in range(12)]
+    texts = ["\n".join(r.choices([*pool, ""], k=r.choice([1, 3, 8]))) for _ in range(60)] + [None]
+    first, gone, every = {}, {}, []
+    for d, t in enumerate(texts):
+        own = [(k, x) for k, x in enumerate((t or "").split("\n")) if x]
+        for n in (1, 2, 3, 4):
+            for at in range(len(own) - n + 1):
+                w = [x for _, x in own[at : at + n]]
+                if n == 4 or sum(map(len, w)) >= 45 or sum(len(x.split()) for x in w) > 9:
+                    every.append((tuple(w), (d, at), [k for k, _ in own[at : at + n]]))
+    for key, place, _ in every:
+        first[key] = min(first.get(key, place), place)
+    for key, place, ks in every:
+        if place > first[key]:
+            gone.setdefault(place[0], set()).update(ks)
+    got = by_id(line_dedup.line_dedup(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), 4, 45, 9))
+    assert any(gone.values()) and all(got[d].n_removed == len(gone.get(d, ())) for d in range(len(texts)))
+
+
 def test_token_files(spark, docs, texts, empty, tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     path = f"file://{tmp_path}/t"
