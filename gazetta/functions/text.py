@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin letters with marks and their plain letters, in the same order.
+# Latin letters with marks and their plain letters, in the same order, as in the SQL.
 MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
 
+# Every character that is not ASCII and of which the NFKD form has ASCII characters, with these.
+_ASCII = {c: x for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]) if unicodedata.decomposition(c) and (x := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode())}
+#: Those of one ASCII character, and those of several.
+SINGLE = {c: x for c, x in _ASCII.items() if len(x) == 1}
+LONGER = {c: x for c, x in _ASCII.items() if len(x) > 1}
+
 BLANKS = r"[ \t\n\x0B\f\r]+"
 
 
@@ -52,8 +60,13 @@ def flesch(text: Column) -> Column:
 
 
 def to_ascii(text: Column) -> Column:
-    """Latin letters without their marks; every other character that is not ASCII is dropped."""
-    return F.regexp_replace(F.translate(_or_empty(text), MARKED, PLAIN), r"[^\x00-\x7F]", "")
+    """The ASCII characters of the NFKD form; it is formed character by character, so no UDF is needed."""
+    single = F.translate(_or_empty(text), "".join(SINGLE), "".join(SINGLE.values()))
+    longer = f"[{''.join(LONGER)}]"
+    table = F.str_to_map(F.lit("\x01".join(f"{c}\x02{x}" for c, x in LONGER.items())), F.lit("\x01"), F.lit("\x02"))
+    parts = F.split(single, f"(?={longer})|(?<={longer})")
+    whole = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
+    return F.regexp_replace(F.when(single.rlike(longer), whole).otherwise(single), r"[^\x00-\x7F]", "")
 
 
 def collapse(text: Column) -> Column:

@@ -138,3 +138,15 @@ def test_annotations():
 def test_source_hash_depends_on_entities():
     a = annotate.source_digest("x", [entity("m")])
     assert a == annotate.source_digest("x", [entity("m")]) != annotate.source_digest("x", [entity("n")])
+
+
+def test_to_ascii_is_nfkd(spark):
+    import unicodedata
+
+    odd = ["1º 2ª", "a\u00a0b", "ő Ő ş", "fim… x²", "½ ﬁm", "e\u0301 Å ß æ", "日本 ㎏ Ⅷ\U0001d400", "", None, "…", "a……b", "…½", "\x01…\x02"]
+    odd += ["-".join(map(chr, range(a, min(a + 4096, 0xD800)))) for a in range(1, 0xD800, 4096)] + ["".join(map(chr, range(a, a + 4096))) for a in range(0xF000, 0x30000, 4096)]
+    df = spark.createDataFrame([*enumerate(odd)], "i int, t string").select("i", text.to_ascii(F.col("t")).alias("a"), text.slug(F.col("t")).alias("s"), text.hash_form(F.col("t")).alias("h"), text.alias_form(F.col("t")).alias("n"))
+    got = {r.i: r for r in df.collect()}
+    for i, t in enumerate(odd):
+        assert got[i].a == unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode()
+    assert (got[0].s, got[0].h, got[1].s, got[1].n, got[2].s, got[3].n) == ("1o-2a", "1o 2a", "a-b", "a b", "o-o-s", "fim... x2")
