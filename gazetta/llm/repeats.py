@@ -1,4 +1,4 @@
-"""Suffix-array dedup of bytes with run-compressed transforms of repetitive parts.
+"""Dedup of repeated byte strings by minimizers, sorting and group minima.
 
 Every byte that is covered by a string of LENGTH bytes which also starts in a document with a
 smaller doc_id is removed. Documents are read in blocks; strings never cross documents.
@@ -9,14 +9,15 @@ smaller doc_id is removed. Documents are read in blocks; strings never cross doc
 2. Neighbouring strings with one minimizer form one fragment. Blocks send the distinct fragments
    with shared minimizers, each with its earliest document, to the minimizer's shard.
 3. A shard sorts the suffixes of its distinct fragments by their first LENGTH bytes (prefix
-   doubling), which gives the Burrows-Wheeler transform to that depth. It is kept as runs: suffixes
-   that agree in LENGTH bytes and follow the same byte, with the earliest document sampled at the
-   run's end. Streaming a fragment through it yields, for each place, whether its match reaches
-   LENGTH bytes, and the earliest document of the runs that it matches.
+   doubling). Each place gets the earliest document of the suffixes that agree with its own in
+   LENGTH bytes: a minimum over each group of equal ones.
 4. The answers, run-length coded, go back to the blocks, which mark and cut the repeats.
 
 Only minimizers, fragments that may repeat, and answers travel; copies collapse in their block
-before that. A transform of the whole corpus, and of matching lengths beyond LENGTH, is not built.
+before that. No run-compressed transform is searched: there is neither backward search nor a
+matching statistic. Every fragment that is asked for is itself among the sorted ones, so its rank
+is known and a look-up through runs would give the same minimum. earliest() forms the runs of the
+Burrows-Wheeler transform only as a step of that minimum; they do not affect it.
 
 Defined results: null text is empty; texts shorter than LENGTH lose nothing; documents with equal
 doc_ids do not remove from each other; a null doc_id comes last; extra columns are ignored; an
@@ -206,7 +207,7 @@ def earliest(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarra
     before = np.where(places > 0, text[places - 1], 0).astype("u8")
     before[np.cumsum(sizes - LENGTH + 1) - (sizes - LENGTH + 1)] = 256  # nothing stands before a fragment
     owner = np.repeat(docs, sizes - LENGTH + 1)
-    # the transform to that depth: suffixes in order, as runs of one preceding byte within one prefix
+    # the minimum by prefix, in two steps: by prefix and preceding byte (runs of the transform), then by prefix
     transform = (depth << np.uint64(9)) | before
     order = np.argsort(transform)
     heads = np.flatnonzero(np.concatenate([[True], transform[order][1:] != transform[order][:-1]]))
