@@ -66,7 +66,7 @@ def to_ascii(text: Column) -> Column:
     table = F.str_to_map(F.lit("\x01".join(f"{c}\x02{x}" for c, x in LONGER.items())), F.lit("\x01"), F.lit("\x02"))
     parts = F.split(single, f"(?={longer})|(?<={longer})")
     whole = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
-    return F.regexp_replace(F.when(single.rlike(longer), whole).otherwise(single), r"[^\x00-\x7F]", "")
+    return F.regexp_replace(F.when(single.rlike(r"[^\x00-\x7F]") & single.rlike(longer), whole).otherwise(single), r"[^\x00-\x7F]", "")
 
 
 def collapse(text: Column) -> Column:
