@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,21 +23,43 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder: the cluster's spark.checkpoint.dir, or one of our own where that is unset, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints").rstrip("/")
+    """The shared folder: the cluster's spark.checkpoint.dir, or one of our own where that is unset and all is one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = "file:///tmp/checkpoints"
+    return folder.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder and read from there.
-
-    Lineage ends there, and every executor can read it. Spark removes it with the last use.
-    """
+    """df written to the shared checkpoint folder and read from there: lineage ends, and every executor can read it."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch(df.sparkSession))
     return df.checkpoint()
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new name in the shared folder; what is there goes when the driver's Python ends."""
+    folder = f"{scratch(spark)}/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: smaller than a checkpoint where rows hold texts."""
+    folder = own_folder(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 #: Up to so many numbers a frame is broadcast instead of dealing out the texts it is joined to.
 SMALL = 2_000_000
 

@@ -10,14 +10,14 @@ bucket keys: at similarity 0.75 a pair shares none of the 64 bands with probabil
 1. Equal sets are one node, named by their smallest doc_id; copies collapse before any shuffle.
 2. Nodes that share a bucket are linked to the bucket's smallest node. Buckets are first formed
    within a batch, which sends on one row for each key, so a hot key costs a row for each batch.
-3. Every such pair is verified on the full sets. Sets travel once, to the node they are compared
-   with; nodes with many partners are salted and their set is repeated for each salt.
-4. Components of verified links. Buckets that still hold several components are looked at again:
-   whole sketches are compared, and each node outside a bucket's largest component proposes the
-   PROPOSALS untested nodes of other components that agree with it best, if in CLOSE of the
-   coordinates (five standard deviations below the threshold). They are verified, components grow,
-   and rounds go on, with more proposals for the few nodes that stay apart, until no untested pair
-   is left.
+3. Every such pair is verified on the full sets. Nodes that share a leader have one home, split by
+   the size of its sets; a set travels once to each pair of homes in which it has a partner.
+4. Components of verified links. Buckets that still hold several components are looked at again, in
+   blocks of bounded size: whole sketches are compared, and each node outside a bucket's largest
+   component proposes the PROPOSALS nodes of other components that agree with it best, if in CLOSE
+   of the coordinates (five standard deviations below the threshold). They are verified and
+   components grow. If that left any such pair out, all that still join different components are
+   verified in a last round.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle; rows of one doc_id are one node, also where their
@@ -27,8 +27,6 @@ an empty result. Equality of shingles is that of 64-bit hashes.
 
 from __future__ import annotations
 
-import itertools
-import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, documents, if_small
+from .common import cut, documents, stored
 from .components import components
 from .hashing import combine, mix, shingles
 
@@ -44,10 +42,10 @@ WIDTH, PERCENT = 5, 75
 ROWS, BANDS = 6, 64
 T = ROWS * BANDS
 CLOSE = 0.655
-#: Pairs that a node proposes in a bucket in the first round, and the factor for each later one.
-PROPOSALS, GROWTH = 16, 16
-#: Partners of a node that are verified in one task.
-PARTNERS = 500
+#: Pairs that a node proposes in a block of a bucket before all are looked at.
+PROPOSALS = 16
+#: Nodes in one block of a bucket; elements of the sets of one home; bytes of sets sent at once; blocks served in one row.
+BUCKET, ELEMENTS, SEND_BYTES, TARGETS = 4096, 1 << 19, 16 << 20, 500
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
@@ -93,26 +91,22 @@ def _lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Lis
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype("i4")), pa.array(values, kind))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], sketches: bool) -> Iterator[pa.RecordBatch]:
-    """doc_id, n, k1, k2 and, if asked for, the band keys and the sketches cut to four bits for each coordinate."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, n, k1, k2, the band keys and the sketches cut to four bits for each coordinate."""
     for whole in batches:
         for at in range(0, whole.num_rows, 1000):
             batch = whole.slice(at, 1000)
             n, k1, k2, bands, short = [], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py() or b"", WIDTH)
-                n.append(len(own))
                 a, b = set_key(own)
-                k1.append(a)
-                k2.append(b)
-                if sketches:
-                    s = sketch(own) if len(own) else None
-                    bands.append(band_keys(s).view("i8") if len(own) else np.empty(0, "i8"))
-                    short.append(_halves(s) if len(own) else b"")
-            out = {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64())}
-            if sketches:
-                out |= {"bands": _lists(np.concatenate(bands), np.array([len(x) for x in bands]), pa.int64()), "short": pa.array(short, pa.binary())}
-            yield pa.RecordBatch.from_pydict(out)
+                s = sketch(own) if len(own) else None
+                for to, x in zip((n, k1, k2, bands, short), (len(own), a, b, np.empty(0, "i8") if s is None else band_keys(s).view("i8"), b"" if s is None else _halves(s)), strict=True):
+                    to.append(x)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
+                _lists(np.concatenate(bands), np.array([len(x) for x in bands]), pa.int64()), pa.array(short, pa.binary()),
+            ], names=["doc_id", "n", "k1", "k2", "bands", "short"])
 
 
 def _in_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,136 +135,185 @@ def _pairs(buckets: DataFrame) -> DataFrame:
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each text its set, once for each partner it is compared with and once for each salt of its own."""
+    """For each text its set, once for each block that needs it; at most SEND_BYTES and one set at a time."""
+    block, node, sets, size = [], [], [], 0
+
+    def out() -> pa.RecordBatch:
+        none = pa.nulls(len(node), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(node, pa.int64()), none, pa.array(sets, pa.binary())], names=["block", "a", "b", "own"])
+
     for whole in batches:
-        for at in range(0, whole.num_rows, 200):
-            batch = whole.slice(at, 200)
-            to, salt, node, sets = [], [], [], []
-            for doc_id, text, salts, partners in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "text", "salts", "partners")), strict=True):
-                own = shingles(text or b"", WIDTH).tobytes()
-                rows = [(doc_id, s, None) for s in range(salts or 0)] + [(p["a"], p["salt"], doc_id) for p in partners or ()]
-                for a, s, b in rows:
-                    to.append(a)
-                    salt.append(s)
-                    node.append(b)
-                    sets.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(salt, pa.int64()), pa.array(node, pa.int64()), pa.array(sets, pa.large_binary() if sum(map(len, sets)) > 1 << 30 else pa.binary())], names=["a", "salt", "b", "own"])
+        for i in range(whole.num_rows):
+            own = shingles(whole.column("text")[i].as_py() or b"", WIDTH).tobytes()
+            doc_id = whole.column("doc_id")[i].as_py()
+            for b in whole.column("blocks")[i].as_py():
+                block.append(b)
+                node.append(doc_id)
+                sets.append(own)
+                size += len(own)
+                if size >= SEND_BYTES:
+                    yield out()
+                    block, node, sets, size = [], [], [], 0
+    if node:
+        yield out()
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of which the sets are similar enough; rows come by (a, salt), a's own sets (b null) first."""
-    key, heads = None, []
+    """Pairs of which the sets are similar enough; rows come by block, its sets (b null) first.
+
+    Pairs that are connected already by links of their block are not compared.
+    """
+    now: int | None = None
+    sets: dict[int, np.ndarray] = {}
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
     for batch in batches:
         a_out, b_out = [], []
-        for a, salt, b, own in zip(*(batch.column(k) for k in ("a", "salt", "b", "own")), strict=True):
-            a, salt, b = a.as_py(), salt.as_py(), b.as_py()
-            own = np.frombuffer(own.as_buffer(), "u8")
-            if (a, salt) != key:
-                key, heads = (a, salt), []
+        own = batch.column("own")
+        for i, (block, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "a", "b")), strict=True)):
+            if block != now:
+                now, sets, parent = block, {}, {}
             if b is None:
-                heads.append(np.array(own))
+                sets[a] = np.array(np.frombuffer(own[i].as_buffer(), "u8"))
                 continue
-            for head in heads:
-                at = np.searchsorted(head, own)
-                both = int((head[np.minimum(at, len(head) - 1)] == own).sum()) if len(head) else 0
-                if both and 100 * both >= percent * (len(head) + len(own) - both):
-                    a_out.append(a)
-                    b_out.append(b)
-                    break
+            x, y = root(a), root(b)
+            if x != y and similar(sets[a], sets[b], percent):
+                parent[max(x, y)] = min(x, y)
+                a_out.append(a)
+                b_out.append(b)
         yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full sets are similar enough. pairs must be cut: it is read thrice."""
-    degrees = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("salts"))
-    salted = pairs.join(degrees, "a").select("b", F.struct("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt")).alias("p"))
-    of_node = salted.groupBy(F.col("b").alias("id")).agg(F.collect_set("p").alias("partners"))
-    needed = of_node.join(degrees.withColumnRenamed("a", "id"), "id", "full")
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(needed, F.col("doc_id") == F.col("id")).select("doc_id", "text", "salts", "partners")
-    sent = texts.mapInArrow(_send, "a long, salt long, b long, own binary")
-    dealt = sent.repartition(F.col("a"), F.col("salt")).sortWithinPartitions("a", "salt", "b")
-    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").distinct()
+def homes(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node, home: nodes that share a leader live together, as long as their sets have ELEMENTS elements in all."""
+    lead = pairs.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("lead"))
+    far = lead.select(F.col("node").alias("lead"), F.col("lead").alias("far"))
+    placed = members.select("node", "n").join(lead, "node", "left").join(far, "lead", "left").select("node", "n", F.coalesce("far", "lead", "node").alias("label"))
+    sizes = placed.groupBy("label").agg(F.ceil(F.sum("n") / ELEMENTS).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.greatest("parts", F.lit(1)))
+    return cut(placed.join(sizes, "label").select("node", F.xxhash64("label", part).alias("home")))
 
 
-def _close(rows: list[tuple], proposals: int) -> np.ndarray:
-    """Untested pairs of one bucket's nodes in different components: for each node outside the largest one its best.
+def verified(docs: DataFrame, pairs: DataFrame, at: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of the pairs (a, b) of doc_ids those whose full sets are similar enough; of pairs in one component maybe fewer.
 
-    A pair is looked at in the first of the buckets that its nodes share, and in no other: rows end
-    with the node's keys of earlier bands, 0 where no other component has the key.
+    A pair is compared in the block of its two homes, to which each set travels once however many
+    partners it has there. at: the homes of all nodes.
     """
-    node, n, comp = (np.array([r[i] for r in rows]) for i in range(3))
-    s = _whole(b"".join(r[3] for r in rows), len(rows))
-    tested, earlier = [set(r[4] or ()) for r in rows], np.stack([r[5] for r in rows])
-    names, counts = np.unique(comp, return_counts=True)
-    out = []
-    for i in np.flatnonzero(comp != names[counts.argmax()]).tolist():
-        rest = np.flatnonzero((comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
-        found = []
-        for k in range(0, len(rest), 4096):
-            agree = (s[rest[k : k + 4096]] == s[i]).sum(1)
-            own = np.flatnonzero(agree >= CLOSE * T)
-            own = own[~((earlier[rest[k + own]] == earlier[i]) & (earlier[i] != 0)).any(1)]
-            found += zip((-agree[own]).tolist(), rest[k + own].tolist(), strict=True)
-        me = int(node[i])
-        fresh = ((me, int(node[j])) for _, j in sorted(found) if int(node[j]) not in tested[i] and me not in tested[j])
-        out += [(min(x), max(x)) for x in itertools.islice(fresh, proposals)]
-    return np.array(out, "i8").reshape(-1, 2)
-
-
-def _across(batches: Iterator[pa.RecordBatch], proposals: int) -> Iterator[pa.RecordBatch]:
-    """The untested pairs of each bucket; rows come by key."""
+    home = lambda k: at.select(F.col("node").alias(k), F.col("home").alias(f"home_{k}"))
+    placed = cut(pairs.join(home("a"), "a").join(home("b"), "b").select(F.xxhash64("home_a", "home_b").alias("block"), "a", "b"))
+    needed = placed.select(F.explode(F.array("a", "b")).alias("id"), "block").distinct()
+    salts = needed.groupBy("id").agg(F.ceil(F.count(F.lit(1)) / TARGETS).alias("salts"))
+    salted = needed.join(salts, "id").groupBy("id", F.pmod(F.xxhash64("block"), F.col("salts")).alias("salt")).agg(F.collect_list("block").alias("blocks"))
+    texts = docs.join(salted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "blocks")
+    sets = texts.mapInArrow(_send, "block long, a long, b long, own binary")
+    rows = sets.unionByName(placed.withColumn("own", F.lit(None).cast("binary")))
+    dealt = rows.repartition(F.col("block")).sortWithinPartitions("block", "b", "a")
+    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").distinct()
+
+
+def _close(rows: list[tuple], proposals: int | None) -> tuple[np.ndarray, bool]:
+    """Pairs of one block of a bucket: for each asking node its closest targets of other components, and whether there were more."""
+    node, n, comp, ask, aim = (np.array([r[i] for r in rows]) for i in range(5))
+    s = _whole(b"".join(r[5] for r in rows), len(rows))
+    out, more = [np.empty((0, 2), "i8")], False
+    for i in np.flatnonzero(ask).tolist():
+        rest = np.flatnonzero(aim & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
+        agree = np.concatenate([np.empty(0, "i8"), *((s[rest[k : k + 4096]] == s[i]).sum(1) for k in range(0, len(rest), 4096))])
+        best = np.flatnonzero(agree >= CLOSE * T)
+        best = best[np.argsort(-agree[best], kind="stable")]
+        if proposals is not None and len(best) > proposals:
+            best, more = best[:proposals], True
+        other = node[rest[best]]
+        out.append(np.stack([np.minimum(other, node[i]), np.maximum(other, node[i])], 1))
+    return np.concatenate(out), more
+
+
+def _across(batches: Iterator[pa.RecordBatch], proposals: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of each block of a bucket; rows come by block. A row without a pair says that there are more."""
 
     def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        found = np.unique(_close(rows, proposals), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+        found, more = _close(rows, proposals)
+        found = np.unique(found, axis=0)
+        a, b = (pa.array([*found[:, k].tolist(), *[None] * more], pa.int64()) for k in range(2))
+        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     key, rows = None, []
     for batch in batches:
-        lists = batch.column("earlier")
-        earlier = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]) if batch.num_rows else []
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "n", "comp", "short", "tested")), earlier, strict=True):
+        for *k, node, n, comp, ask, aim, short in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "n", "comp", "ask", "aim", "short")), strict=True):
             if k != key:
                 if rows:
                     yield pairs(rows)
                 key, rows = k, []
-            rows.append(row)
+            rows.append((node, n, comp, ask, aim, short))
     if rows:
         yield pairs(rows)
 
 
+def unlinked(members: DataFrame, comps: DataFrame, proposals: int | None) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and have close sketches.
+
+    A bucket's nodes outside its largest component ask; at most `proposals` pairs an asking node and
+    block. A row of nulls is there if that left any out. Buckets are split into blocks of
+    about BUCKET asking nodes and as many others.
+    """
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    keys = placed.select("node", "comp", F.explode("bands").alias("key"))
+    of_comp = keys.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    several = of_comp.groupBy("key").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    shared = keys.join(several, "key").groupBy("node").agg(F.collect_list(F.struct("key", "main", F.ceil(F.col("size") / BUCKET).alias("parts"))).alias("own"))
+    rows = shared.join(placed.select("node", "n", "comp", "short"), "node").select("node", "n", "comp", "short", F.explode("own").alias("x"))
+    g, asks = F.pmod(F.xxhash64("node"), F.col("x.parts")), F.col("comp") != F.col("x.main")
+    role = lambda i, j, ask, aim: F.struct(i.alias("i"), j.alias("j"), ask.alias("ask"), aim.alias("aim"))
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("long")
+    others = F.sequence(zero, F.col("x.parts") - 1)
+    asked, asking = F.transform(others, lambda t: role(t, g, no, yes)), F.transform(others, lambda t: role(g, t, yes, no))
+    roles = F.when(F.col("x.parts") == 1, F.array(role(zero, zero, asks, yes))).when(asks, F.concat(asked, asking)).otherwise(asked)
+    dealt = rows.select(F.col("x.key").alias("key"), "node", "n", "comp", "short", F.explode(roles).alias("r")).select("key", "r.*", "node", "n", "comp", "short")
+    blocks = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    return blocks.mapInArrow(lambda batches: _across(batches, proposals), "a long, b long").distinct()
+
+
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     as_bytes = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    sets = as_bytes.mapInArrow(lambda b: _sets(b, True), "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary")
+    sets = cut(as_bytes.mapInArrow(_sets, "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary"))
     same = ["n", "k1", "k2"]
     least = F.min(F.struct(F.col("doc_id").alias("node"), "bands", "short")).alias("m")
     classes = cut(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
     buckets = classes.select("node", "bands").mapInArrow(_in_batch, "key long, node long, to long")
     pairs = cut(_pairs(buckets))
-    members = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short")
-    members = cut(members)
-    texts = cut(as_bytes.join(if_small(members.select(F.col("node").alias("doc_id"))), "doc_id", "left_semi"))
-    links, tested = cut(verified(texts, pairs, percent)), pairs
+    members = cut(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short"))
+    texts = stored(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
+    at = homes(members, pairs)
+    links = cut(verified(texts, pairs, at, percent))
     comps = components(links)
-    for proposals in itertools.accumulate(itertools.repeat(GROWTH), operator.mul, initial=PROPOSALS):
-        placed = members.join(comps, "node", "left").select("node", F.coalesce("component", "node").alias("comp"), F.posexplode("bands").alias("band", "key"))
-        several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        before = tested.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("tested"))
-        shared = placed.join(several, "key").groupBy("node", "comp").agg(F.collect_list(F.struct("band", "key")).alias("own"))
-        masked = F.transform("bands", lambda k: F.when(F.array_contains("own.key", k), k).otherwise(F.lit(0).cast("long"))).alias("masked")
-        mixed = shared.join(members, "node").join(before, "node", "left").select("node", "n", "comp", "short", "tested", masked, F.explode("own").alias("x"))
-        dealt = mixed.select("x.key", "node", "n", "comp", "short", "tested", F.slice("masked", 1, F.col("x.band")).alias("earlier")).repartition(F.col("key")).sortWithinPartitions("key", "node")
-        more = cut(dealt.mapInArrow(lambda batches, p=proposals: _across(batches, p), "a long, b long").distinct())
-        if more.isEmpty():
-            break
-        fresh = cut(verified(texts, more, percent))
-        tested = cut(tested.unionByName(more))
+    for proposals in (PROPOSALS, None):
+        found = cut(unlinked(members, comps, proposals))
+        more = found.where("a is not null")
+        fresh = cut(verified(texts, more, at, percent))
         if not fresh.isEmpty():
             links = cut(links.unionByName(fresh))
             comps = components(links)
-    ids = as_bytes.mapInArrow(lambda b: _sets(b, False), "doc_id long, n long, k1 long, k2 long")
+        if found.where("a is null").isEmpty():
+            break
     nodes = classes.select(*same, "node").join(comps, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
-    out = ids.join(nodes, same, "left")
+    out = sets.select("doc_id", *same).join(nodes, same, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
