@@ -8,16 +8,16 @@ similarity, concentrated as if coordinates were independent. Bands of ROWS coord
 bucket keys: at similarity 0.75 a pair shares none of the 64 bands with probability 4e-6.
 
 1. Equal sets are one node, named by their smallest doc_id; copies collapse before any shuffle.
-2. Nodes that share a bucket are linked to the bucket's smallest node. Buckets are first formed
-   within a batch, which sends on one row for each key, so a hot key costs a row for each batch.
-3. Every such pair is verified on the full sets. Nodes that share a leader have one home, split by
-   the size of its sets; a set travels once to each pair of homes in which it has a partner.
-4. Components of verified links. Buckets that still hold several components are looked at again, in
-   blocks of bounded size: whole sketches are compared, and each node outside a bucket's largest
-   component proposes the PROPOSALS nodes of other components that agree with it best, if in CLOSE
-   of the coordinates (five standard deviations below the threshold). They are verified and
-   components grow. If that left any such pair out, all that still join different components are
-   verified in a last round.
+2. Nodes that share a bucket are linked to the bucket's smallest node, its leader. Buckets are
+   first formed within a batch, which sends on one row for each key, so a hot key costs a row for
+   each batch.
+3. Nodes that share a leader have one home, split by the size of its sets. A node meets its leaders
+   in blocks of two homes (or one); its set travels once to each of these, where all sets are
+   compared exactly through an inverted index. No pair leaves a task, only links of components.
+4. Components of links. Buckets that still hold several components are looked at again, in parts
+   of bounded size: whole sketches are compared, and where a node outside a bucket's largest
+   component agrees with one of another component in CLOSE of the coordinates (five standard
+   deviations below the threshold), their homes meet in a block as well.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing;
 texts of fewer than five words have one shingle; rows of one doc_id are one node, also where their
@@ -31,9 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .blobs import gather
 from .common import cut, documents, stored
 from .components import components
 from .hashing import combine, mix, shingles
@@ -42,10 +43,8 @@ WIDTH, PERCENT = 5, 75
 ROWS, BANDS = 6, 64
 T = ROWS * BANDS
 CLOSE = 0.655
-#: Pairs that a node proposes in a block of a bucket before all are looked at.
-PROPOSALS = 16
-#: Nodes in one block of a bucket; elements of the sets of one home; bytes of sets sent at once; blocks served in one row.
-BUCKET, ELEMENTS, SEND_BYTES, TARGETS = 4096, 1 << 19, 16 << 20, 500
+#: Nodes in one part of a bucket; elements of the sets of one home; bytes of sets sent at once; blocks served in one row.
+BUCKET, ELEMENTS, SEND_BYTES, TARGETS = 4096, 1 << 18, 16 << 20, 500
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
@@ -136,67 +135,85 @@ def _pairs(buckets: DataFrame) -> DataFrame:
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each text its set, once for each block that needs it; at most SEND_BYTES and one set at a time."""
-    block, node, sets, size = [], [], [], 0
+    block, node, comp, sets, size = [], [], [], [], 0
 
     def out() -> pa.RecordBatch:
-        none = pa.nulls(len(node), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(node, pa.int64()), none, pa.array(sets, pa.binary())], names=["block", "a", "b", "own"])
+        numbers = [pa.array(x, pa.int64()) for x in (block, node, comp)]
+        return pa.RecordBatch.from_arrays([*numbers, pa.array(sets, pa.binary())], names=["block", "node", "comp", "own"])
 
     for whole in batches:
         for i in range(whole.num_rows):
             own = shingles(whole.column("text")[i].as_py() or b"", WIDTH).tobytes()
-            doc_id = whole.column("doc_id")[i].as_py()
+            doc_id, c = (whole.column(k)[i].as_py() for k in ("doc_id", "comp"))
             for b in whole.column("blocks")[i].as_py():
                 block.append(b)
                 node.append(doc_id)
+                comp.append(c)
                 sets.append(own)
                 size += len(own)
                 if size >= SEND_BYTES:
                     yield out()
-                    block, node, sets, size = [], [], [], 0
+                    block, node, comp, sets, size = [], [], [], [], 0
     if node:
         yield out()
 
 
-def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets are similar enough."""
-    if len(x) > len(y):
-        x, y = y, x
-    if not len(x) or 100 * len(x) < percent * len(y):
-        return False
-    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-    return 100 * both >= percent * (len(x) + len(y) - both)
+def links_among(node: list[int], comp: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect all similar sets that are not in one component yet; fewer than there are nodes.
 
-
-def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of which the sets are similar enough; rows come by block, its sets (b null) first.
-
-    Pairs that are connected already by links of their block are not compared.
+    An inverted index of the elements gives, for one set after the other, the exact sizes of its
+    intersections with all sets before it. Rows of one node are linked without a look.
     """
-    now: int | None = None
-    sets: dict[int, np.ndarray] = {}
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = x = parent.get(parent[x], parent[x])
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
         return x
 
+    sizes = np.array([len(x) for x in sets])
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(element, kind="stable")
+    posting, begin = owner[order], np.searchsorted(element[order], np.arange(element.max() + 1))
+    # where each element of each set stands in its posting list: the sets before it come first
+    place = np.empty(len(order), "i8")
+    place[order] = np.arange(len(order))
+    at, out, left = np.cumsum(sizes) - sizes, [], len(set(comp))
+    for i in range(len(sets)):
+        if left == 1:
+            break
+        own = slice(at[i], at[i] + sizes[i])
+        first = begin[element[own]]
+        before = posting[gather(first, place[own] - first)]
+        both = np.bincount(before, minlength=i) if len(before) else np.zeros(i, "i8")
+        for j in np.flatnonzero((both > 0) & (100 * both >= percent * (sizes[i] + sizes[:i] - both))).tolist():
+            x, y = root(comp[i]), root(comp[j])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((node[j], node[i]))
+                left -= 1
+    return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The links among the sets of each block; rows come by block."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        found = links_among(*(list(x) for x in zip(*rows, strict=True)), percent) if len(rows) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    now, rows = None, []
     for batch in batches:
-        a_out, b_out = [], []
         own = batch.column("own")
-        for i, (block, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "a", "b")), strict=True)):
+        for i, (block, node, comp) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("block", "node", "comp")), strict=True)):
             if block != now:
-                now, sets, parent = block, {}, {}
-            if b is None:
-                sets[a] = np.array(np.frombuffer(own[i].as_buffer(), "u8"))
-                continue
-            x, y = root(a), root(b)
-            if x != y and similar(sets[a], sets[b], percent):
-                parent[max(x, y)] = min(x, y)
-                a_out.append(a)
-                b_out.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+                if rows:
+                    yield links(rows)
+                now, rows = block, []
+            rows.append((node, comp, np.array(np.frombuffer(own[i].as_buffer(), "u8"))))
+    if rows:
+        yield links(rows)
 
 
 def homes(members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -206,87 +223,88 @@ def homes(members: DataFrame, pairs: DataFrame) -> DataFrame:
     placed = members.select("node", "n").join(lead, "node", "left").join(far, "lead", "left").select("node", "n", F.coalesce("far", "lead", "node").alias("label"))
     sizes = placed.groupBy("label").agg(F.ceil(F.sum("n") / ELEMENTS).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.greatest("parts", F.lit(1)))
-    return cut(placed.join(sizes, "label").select("node", F.xxhash64("label", part).alias("home")))
+    return placed.join(sizes, "label").select("node", F.xxhash64("label", part).alias("home"))
+
 
+def block_of(home_a: Column, home_b: Column) -> Column:
+    return F.xxhash64(F.least(home_a, home_b), F.greatest(home_a, home_b))
 
-def verified(docs: DataFrame, pairs: DataFrame, at: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of the pairs (a, b) of doc_ids those whose full sets are similar enough; of pairs in one component maybe fewer.
 
-    A pair is compared in the block of its two homes, to which each set travels once however many
-    partners it has there. at: the homes of all nodes.
+def verified(docs: DataFrame, needed: DataFrame, comps: DataFrame | None, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) of nodes that meet in a block, whose full sets are similar enough and whose components differ.
+
+    needed: distinct (node, block); comps: node, component of those that are linked already. All sets of
+    a block are compared with each other, and each travels to it once.
     """
-    home = lambda k: at.select(F.col("node").alias(k), F.col("home").alias(f"home_{k}"))
-    placed = cut(pairs.join(home("a"), "a").join(home("b"), "b").select(F.xxhash64("home_a", "home_b").alias("block"), "a", "b"))
-    needed = placed.select(F.explode(F.array("a", "b")).alias("id"), "block").distinct()
-    salts = needed.groupBy("id").agg(F.ceil(F.count(F.lit(1)) / TARGETS).alias("salts"))
-    salted = needed.join(salts, "id").groupBy("id", F.pmod(F.xxhash64("block"), F.col("salts")).alias("salt")).agg(F.collect_list("block").alias("blocks"))
-    texts = docs.join(salted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "blocks")
-    sets = texts.mapInArrow(_send, "block long, a long, b long, own binary")
-    rows = sets.unionByName(placed.withColumn("own", F.lit(None).cast("binary")))
-    dealt = rows.repartition(F.col("block")).sortWithinPartitions("block", "b", "a")
-    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").distinct()
-
-
-def _close(rows: list[tuple], proposals: int | None) -> tuple[np.ndarray, bool]:
-    """Pairs of one block of a bucket: for each asking node its closest targets of other components, and whether there were more."""
-    node, n, comp, ask, aim = (np.array([r[i] for r in rows]) for i in range(5))
-    s = _whole(b"".join(r[5] for r in rows), len(rows))
-    out, more = [np.empty((0, 2), "i8")], False
+    salts = needed.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / TARGETS).alias("salts"))
+    salted = needed.join(salts, "node").groupBy("node", F.pmod(F.xxhash64("block"), F.col("salts")).alias("salt")).agg(F.collect_list("block").alias("blocks"))
+    known = salted.withColumn("component", F.col("node")) if comps is None else salted.join(comps, "node", "left")
+    wanted = known.select(F.col("node").alias("id"), F.coalesce("component", "node").alias("comp"), "blocks")
+    texts = docs.join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "comp", "blocks")
+    sets = texts.mapInArrow(_send, "block long, node long, comp long, own binary")
+    dealt = sets.repartition(F.col("block")).sortWithinPartitions("block", "node")
+    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").where("a <> b").distinct()
+
+
+def _close(rows: list[tuple]) -> np.ndarray:
+    """(node, home, home) of each asking node of a bucket's block and the targets of other components that are close to it."""
+    node, home, n, comp, ask, aim = (np.array([r[i] for r in rows]) for i in range(6))
+    s = _whole(b"".join(r[6] for r in rows), len(rows))
+    out = [np.empty((0, 3), "i8")]
     for i in np.flatnonzero(ask).tolist():
         rest = np.flatnonzero(aim & (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])))
         agree = np.concatenate([np.empty(0, "i8"), *((s[rest[k : k + 4096]] == s[i]).sum(1) for k in range(0, len(rest), 4096))])
-        best = np.flatnonzero(agree >= CLOSE * T)
-        best = best[np.argsort(-agree[best], kind="stable")]
-        if proposals is not None and len(best) > proposals:
-            best, more = best[:proposals], True
-        other = node[rest[best]]
-        out.append(np.stack([np.minimum(other, node[i]), np.maximum(other, node[i])], 1))
-    return np.concatenate(out), more
+        near = rest[agree >= CLOSE * T]
+        if len(near):
+            there, here = home[near], np.unique(home[near])
+            out.append(np.stack([node[near], there, np.full(len(near), home[i])], 1))
+            out.append(np.stack([np.full(len(here), node[i]), here, np.full(len(here), home[i])], 1))
+    return np.unique(np.concatenate(out), axis=0)
 
 
-def _across(batches: Iterator[pa.RecordBatch], proposals: int | None) -> Iterator[pa.RecordBatch]:
-    """Pairs of each block of a bucket; rows come by block. A row without a pair says that there are more."""
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_close() of each block of a bucket; rows come by block."""
 
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        found, more = _close(rows, proposals)
-        found = np.unique(found, axis=0)
-        a, b = (pa.array([*found[:, k].tolist(), *[None] * more], pa.int64()) for k in range(2))
-        return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+    def meetings(rows: list[tuple]) -> pa.RecordBatch:
+        found = _close(rows)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k], pa.int64()) for k in range(3)], names=["node", "home_a", "home_b"])
 
     key, rows = None, []
     for batch in batches:
-        for *k, node, n, comp, ask, aim, short in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "n", "comp", "ask", "aim", "short")), strict=True):
+        for *k, node, home, n, comp, ask, aim, short in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "home", "n", "comp", "ask", "aim", "short")), strict=True):
             if k != key:
                 if rows:
-                    yield pairs(rows)
+                    yield meetings(rows)
                 key, rows = k, []
-            rows.append((node, n, comp, ask, aim, short))
+            rows.append((node, home, n, comp, ask, aim, short))
     if rows:
-        yield pairs(rows)
+        yield meetings(rows)
 
 
-def unlinked(members: DataFrame, comps: DataFrame, proposals: int | None) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and have close sketches.
+def unlinked(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Distinct (node, block): where nodes of different components that share a bucket and have close sketches meet.
 
-    A bucket's nodes outside its largest component ask; at most `proposals` pairs an asking node and
-    block. A row of nulls is there if that left any out. Buckets are split into blocks of
-    about BUCKET asking nodes and as many others.
+    members: node, n, bands, short, home. A bucket's nodes outside its largest component ask. Buckets are
+    split into blocks of about BUCKET asking nodes and as many others. Not the pairs, whose number grows
+    with the square of a group, but only the homes that they join go on.
     """
     placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
     keys = placed.select("node", "comp", F.explode("bands").alias("key"))
     of_comp = keys.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = of_comp.groupBy("key").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.sum("c").alias("size"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     shared = keys.join(several, "key").groupBy("node").agg(F.collect_list(F.struct("key", "main", F.ceil(F.col("size") / BUCKET).alias("parts"))).alias("own"))
-    rows = shared.join(placed.select("node", "n", "comp", "short"), "node").select("node", "n", "comp", "short", F.explode("own").alias("x"))
+    rows = shared.join(placed.select("node", "home", "n", "comp", "short"), "node").select("node", "home", "n", "comp", "short", F.explode("own").alias("x"))
     g, asks = F.pmod(F.xxhash64("node"), F.col("x.parts")), F.col("comp") != F.col("x.main")
     role = lambda i, j, ask, aim: F.struct(i.alias("i"), j.alias("j"), ask.alias("ask"), aim.alias("aim"))
     yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("long")
     others = F.sequence(zero, F.col("x.parts") - 1)
     asked, asking = F.transform(others, lambda t: role(t, g, no, yes)), F.transform(others, lambda t: role(g, t, yes, no))
     roles = F.when(F.col("x.parts") == 1, F.array(role(zero, zero, asks, yes))).when(asks, F.concat(asked, asking)).otherwise(asked)
-    dealt = rows.select(F.col("x.key").alias("key"), "node", "n", "comp", "short", F.explode(roles).alias("r")).select("key", "r.*", "node", "n", "comp", "short")
+    own = ["node", "home", "n", "comp", "short"]
+    dealt = rows.select(F.col("x.key").alias("key"), *own, F.explode(roles).alias("r")).select("key", "r.*", *own)
     blocks = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return blocks.mapInArrow(lambda batches: _across(batches, proposals), "a long, b long").distinct()
+    met = blocks.mapInArrow(_across, "node long, home_a long, home_b long")
+    return met.select("node", block_of(F.col("home_a"), F.col("home_b")).alias("block")).distinct()
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -298,20 +316,17 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = cut(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
     buckets = classes.select("node", "bands").mapInArrow(_in_batch, "key long, node long, to long")
     pairs = cut(_pairs(buckets))
-    members = cut(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short"))
+    members = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short")
+    members = cut(members.join(homes(members, pairs), "node"))
     texts = stored(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
-    at = homes(members, pairs)
-    links = cut(verified(texts, pairs, at, percent))
+    home = lambda k: members.select(F.col("node").alias(k), F.col("home").alias(f"home_{k}"))
+    led = pairs.join(home("a"), "a").join(home("b"), "b")
+    meeting = led.select(F.explode(F.array("a", "b")).alias("node"), block_of(F.col("home_a"), F.col("home_b")).alias("block")).distinct()
+    links = cut(verified(texts, meeting, None, percent))
     comps = components(links)
-    for proposals in (PROPOSALS, None):
-        found = cut(unlinked(members, comps, proposals))
-        more = found.where("a is not null")
-        fresh = cut(verified(texts, more, at, percent))
-        if not fresh.isEmpty():
-            links = cut(links.unionByName(fresh))
-            comps = components(links)
-        if found.where("a is null").isEmpty():
-            break
+    more = cut(verified(texts, cut(unlinked(members, comps)), comps, percent))
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
     nodes = classes.select(*same, "node").join(comps, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     out = sets.select("doc_id", *same).join(nodes, same, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
