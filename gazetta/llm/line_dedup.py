@@ -1,14 +1,22 @@
 """Line dedup by winnowing over line hashes, with DataFrame operations only.
 
 A document is the sequence of its lines that are not blank. Of each window of RUN consecutive
-lines the smallest line hash is the window's fingerprint, so two equal windows, wherever they
-stand, have the same one. Fingerprints that stand at one position only in all documents are
-dropped; around the others the matches are extended line by line to both sides: every window that
-holds the fingerprint as its minimum is compared with the equal ones, and the first in order of
-(doc_id, position) stays. Lines of later windows are deleted, so a whole repeated run of RUN or
-more lines goes. A line of LONG or more characters is a run by itself. With `words`, so are fewer
-lines than RUN that together have LONG characters or more than `words` words: then every passage of
-more words that fills whole lines has a window. The query is without, as its SQL fixes the rule; the
+lines the smallest line hash is selected: a fingerprint, with its position. Neighbouring windows
+mostly select the same one, so about every second line is a position, and two equal windows,
+wherever they stand, have selected the same fingerprint at the same place within.
+
+1. Each position is one row: its fingerprint and the hashes of the lines around it, as far as a
+   window that selects it can reach.
+2. Positions whose fingerprint stands nowhere else are dropped.
+3. The others are joined by fingerprint and extended: to both sides of the position, by comparing
+   the hashes of the neighbouring lines, to every window that selects it. Positions that agree
+   in one of these match there; a group of any size is compared with its first place only.
+4. The first place in order of (doc_id, position) stays. Lines of later matches are deleted, so a
+   whole repeated run of RUN or more lines goes.
+
+A line of LONG or more characters is a window by itself. With `words`, so are fewer lines than RUN
+that together have LONG characters or more than `words` words: then every passage of more words
+that fills whole lines has a window. The query is without, as its SQL fixes the rule; the
 pipeline's stage is with WORDS.
 
 Counts and first places are pre-aggregated on the map side; the joins back have plain exchanges on
@@ -25,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, if_small
+from .common import cut, documents
 
 RUN, LONG = 3, 200
 #: Of the pipeline: a repeated passage of more words than this goes, however few its lines.
@@ -36,43 +44,64 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _few(n: int, long: int, words: int) -> Column:
-    """The windows of n lines that together have enough characters or words."""
-    total = lambda i, c: sum((F.get("l", i + k)[c] for k in range(1, n)), F.get("l", i)[c])
-    own = lambda i, c: F.transform(F.slice("l", i + 1, n), lambda x: x[c])
-    starts = F.filter(F.sequence(F.lit(0), F.size("l") - n), lambda i: (total(i, "chars") >= long) | (total(i, "words") > words))
-    return F.coalesce(F.when(F.size("l") >= n, F.transform(starts, lambda i: F.struct(own(i, "i").alias("at"), own(i, "h").alias("h"), own(i, "g").alias("g")))), F.array())
+def positions(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
+    """doc_id, row, print (a selected line hash), p (the line's number), near, reach.
 
-
-def windows(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
-    """doc_id, row, at (array of line numbers), k1, k2 (the window's lines), print (its fingerprint)."""
-    size = lambda x: [] if words is None else [F.char_length(x).alias("chars"), F.regexp_count(x, F.lit(r"[^ \t\x0B\f\r]+")).alias("words")]
-    line = lambda x, i: F.struct(*size(x), i.alias("i"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), (F.char_length(x) >= long).alias("long"), x.rlike(r"[^ \t\x0B\f\r]").alias("full"))
+    near: the lines (i, h, g) that a window selecting this one can hold. reach: start and size of
+    each such window within near.
+    """
+    more = lambda x: [] if words is None else [F.regexp_count(x, F.lit(r"[^ \t\x0B\f\r]+")).alias("words")]
+    line = lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g"), F.char_length(x).alias("chars"), x.rlike(r"[^ \t\x0B\f\r]").alias("full"), *more(x))
     own = F.filter(F.transform(_lines(F.col("text")), line), lambda x: x["full"])
-    lines = docs.select("doc_id", F.xxhash64("text").alias("row"), own.alias("l"))
-    at = lambda i: F.slice("l", i + 1, run)
-    runs = F.when(F.size("l") >= run, F.transform(F.sequence(F.lit(0), F.size("l") - run), lambda i: F.struct(F.transform(at(i), lambda x: x["i"]).alias("at"), F.transform(at(i), lambda x: x["h"]).alias("h"), F.transform(at(i), lambda x: x["g"]).alias("g"))))
-    ones = F.transform(F.filter("l", lambda x: x["long"] if words is None else x["long"] | (x["words"] > words)), lambda x: F.struct(F.array(x["i"]).alias("at"), F.array(x["h"]).alias("h"), F.array(x["g"]).alias("g")))
-    few = [_few(n, long, words) for n in range(2, run)] if words is not None else []
-    each = lines.select("doc_id", "row", F.explode(F.concat(F.coalesce(runs, F.array()), ones, *few)).alias("w"))
-    return each.select("doc_id", "row", F.col("w.at").alias("at"), F.xxhash64("w.h").alias("k1"), F.xxhash64("w.g").alias("k2"), F.array_min("w.h").alias("print"))
+    each = docs.select("doc_id", F.xxhash64("text").alias("row"), own.alias("l")).where(F.size("l") > 0)
+    # the lines around each place p, and where p is among them
+    low = lambda p: F.greatest(p - (run - 1), F.lit(0))
+    around = F.transform("l", lambda x, p: F.struct((p - low(p)).alias("at"), F.slice("l", low(p) + 1, p - low(p) + run).alias("near")))
+    rows = each.select("doc_id", "row", F.explode(around).alias("x")).select("doc_id", "row", F.get("x.near", F.col("x.at"))["h"].alias("print"), "x.at", "x.near")
+    hashes = F.transform("near", lambda x: x["h"])
+
+    def counts(start: Column, n: int) -> Column:
+        """Whether n lines from start on are a window."""
+        lines = F.slice("near", start + 1, n)
+        total = lambda c: F.aggregate(lines, F.lit(0), lambda s, x: s + x[c])
+        enough = total("chars") >= long
+        return F.lit(True) if n == run else enough if words is None else enough | (total("words") > words)
+
+    def windows(n: int) -> Column:
+        """The windows of n lines that hold the position and of which it is the least hash."""
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("near") - n, F.lit(0))), lambda s: (s <= F.col("at")) & (s + n > F.col("at")) & (s + n <= F.size("near")))
+        chosen = F.filter(starts, lambda s: (F.array_min(F.slice(hashes, s + 1, n)) == F.col("print")) & counts(s, n))
+        return F.transform(chosen, lambda s: F.struct(s.alias("start"), F.lit(n).alias("size")))
+
+    sizes = [run, 1] if words is None else [*range(1, run + 1)]
+    reach = F.concat(*(windows(n) for n in dict.fromkeys(sizes)))
+    lean = F.transform("near", lambda x: F.struct(x["i"].alias("i"), x["h"].alias("h"), x["g"].alias("g")))
+    reached = rows.withColumn("reach", reach).where(F.size("reach") > 0)
+    return reached.select("doc_id", "row", "print", F.get("near", F.col("at"))["i"].alias("p"), "reach", lean.alias("lean")).withColumnRenamed("lean", "near")
+
+
+def matches(selected: DataFrame) -> DataFrame:
+    """doc_id, row, at (line numbers), k1, k2: positions extended to the windows that select them."""
+    each = selected.select("doc_id", "row", "near", F.explode("reach").alias("w"))
+    part = lambda c: F.transform(F.slice("near", F.col("w.start") + 1, F.col("w.size")), lambda x: x[c])
+    return each.select("doc_id", "row", part("i").alias("at"), F.xxhash64(part("h")).alias("k1"), F.xxhash64(part("g")).alias("k2"))
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
     """doc_id, row, gone: the line numbers that are deleted from a document."""
-    all_ = cut(windows(docs, run, long, words))
+    selected = cut(positions(docs, run, long, words))
+    here = F.struct("doc_id", "row", "p")
+    prints = cut(selected.groupBy("print").agg(F.min(here).alias("lo"), F.max(here).alias("hi")).where("lo < hi").select("print"))
+    extended = cut(matches(selected.join(prints, "print")))
     place = F.struct("doc_id", "row", F.col("at")[0].alias("p"))
-    prints = cut(all_.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("print"))
-    open_ = cut(all_.join(prints, "print").drop("print"))
-    firsts = cut(open_.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("k1", "k2", "first"))
-    later = open_.join(firsts, ["k1", "k2"]).where(place > F.col("first"))
+    firsts = cut(extended.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("k1", "k2", "first"))
+    later = extended.join(firsts, ["k1", "k2"]).where(place > F.col("first"))
     return later.select("doc_id", "row", F.explode("at").alias("i")).groupBy("doc_id", "row").agg(F.collect_set("i").alias("gone"))
 
 
 def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG, words: int | None = None) -> DataFrame:
     """docs with n_lines, n_removed and kept_text (null for null text) of every row; columns of docs with these names are replaced."""
-    found = cut(repeated_lines(docs, run, long, words))
-    gone = if_small(found, 3 + F.size("gone")).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
+    gone = repeated_lines(docs, run, long, words).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("gone").alias("_gone"))
     same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_row"))
     joined = docs.join(gone, same, "left").drop("_gone_id", "_gone_row")
     lines = _lines(F.col("text"))
