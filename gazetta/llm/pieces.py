@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -34,6 +35,19 @@ def load(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
+def _simple_tokens(build: dict) -> bool:
+    """Whether special strings hold no white space and take none from beside them."""
+    return not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in build["added_tokens"])
+
+
+def is_byte_level(tokenizer: Tokenizer) -> bool:
+    """Whether texts may be cut before spaces: no normaliser, byte-level pre-tokens of the usual pattern, plain BPE."""
+    build = json.loads(tokenizer.to_str())
+    pre, model = build["pre_tokenizer"] or {}, build["model"]
+    usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    return bool(usual and build["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and _simple_tokens(build))
+
+
 def byte_characters() -> dict[int, int]:
     """The characters that byte-level tokenizers use for bytes: printable ones stand for themselves."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -17,51 +17,80 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, scratch
-from .pieces import MEMORY, SIMPLE, encode_each, load, no_collection, pre_token_ids
+from .blobs import gather
+from .common import documents, own_folder
+from .pieces import MEMORY, SIMPLE, encode_each, is_byte_level, load, no_collection, pre_token_ids
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
+#: Bytes of text in one file, and texts that are encoded at once.
+FILE_BYTES, ROWS = 16 << 20, 1000
+#: White space, followed by a space.
+SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _MEMORIES: dict[str, "Encoder"] = {}
 
 
 class Encoder:
     """Token ids of whole texts by pieces cut before spaces.
 
-    A piece starts at a space whose left neighbour is no white space, and goes on to the next.
+    A piece starts at a space whose left neighbour is no white space, and goes on to the next. Texts
+    are split, and their distinct pieces found and put together again, by whole arrays. Tokenizers
+    of another build than byte-level ones encode whole texts.
     """
 
-    odd = re.compile(r"\s ")
-
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.by_pieces = is_byte_level(self.tokenizer)
         self.one = pre_token_ids(self.tokenizer)
         self.after: dict[str, bytes] = {}  # by piece without its leading space
         self.bare: dict[str, bytes] = {}  # by piece that has none
         self.marks = {x: ids.tobytes() for x, ids in zip(".,\n", encode_each(self.tokenizer, [*".,\n"]), strict=True)} | {None: b""}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text with the end id, and all ids."""
+        end = np.array([end_id], "<i4").tobytes()
+        if not self.by_pieces:
+            whole = [x.tobytes() + end for x in encode_each(self.tokenizer, texts.to_pylist())]
+            return np.array([len(x) // 4 for x in whole], "i8"), np.frombuffer(b"".join(whole), "<i4")
+        lists = pc.split_pattern(texts, pattern=" ")
+        n = len(texts)
+        odd = np.flatnonzero(pc.match_substring_regex(texts, pattern=SPACE_AFTER_SPACE).to_numpy(zero_copy_only=False))
+        if len(odd):
+            more = pa.array([self.parts(texts[i].as_py()) for i in odd.tolist()], lists.type)
+            at = np.arange(n)
+            at[odd] = n + np.arange(len(odd))
+            lists = pa.concat_arrays([lists, more]).take(pa.array(at))
+        ends = np.cumsum(lists.value_lengths().to_numpy().astype("i8"))
+        firsts = np.concatenate([[0], ends[:-1]])
+        pieces = lists.flatten().dictionary_encode()
+        words, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype("i8")
+        heads, at = np.unique(codes[firsts], return_inverse=True)
+        codes[firsts] = len(words) + at  # pieces without a space before them are another kind
+        used = np.bincount(codes, minlength=len(words))[: len(words)] > 0
+        plain, bare = [w for w, x in zip(words, used.tolist(), strict=True) if x], [words[i] for i in heads.tolist()]
         with no_collection():
             for memory in (self.after, self.bare):
                 if len(memory) > MEMORY:
                     memory.clear()
-            parts = [self.parts(x) for x in texts]
-            heads = [x.pop(0) for x in parts]
-            self.learn(set(heads).difference(self.bare), self.bare, "")
-            self.learn(set().union(*parts).difference(self.after), self.after, " ")
-            get = self.after.__getitem__
-            return [self.bare[head] + b"".join(map(get, x)) for head, x in zip(heads, parts, strict=True)]
+            self.learn(set(bare).difference(self.bare), self.bare, "")
+            self.learn(set(plain).difference(self.after), self.after, " ")
+            ids = [*map(self.after.__getitem__, plain), *map(self.bare.__getitem__, bare), end]
+        place = np.concatenate([np.cumsum(used) - 1, len(plain) + np.arange(len(bare))])
+        tokens = np.insert(place[codes], ends, len(ids) - 1)
+        sizes = np.fromiter(map(len, ids), "i8", len(ids)) // 4
+        values = np.frombuffer(b"".join(ids), "<i4")
+        own = sizes[tokens]
+        return np.add.reduceat(own, firsts + np.arange(n)), values[gather((np.cumsum(sizes) - sizes)[tokens], own)]
 
     def learn(self, pieces: set[str], memory: dict[str, bytes], space: str) -> None:
         """Puts the ids of pieces, each after that space, into memory."""
@@ -87,8 +116,6 @@ class Encoder:
 
     def parts(self, text: str) -> list[str]:
         parts = text.split(" ")
-        if not self.odd.search(text):
-            return parts
         out = parts[:1]
         for x in parts[1:]:
             if out[-1] == "" or out[-1][-1].isspace():
@@ -106,21 +133,20 @@ def encoder(path: str) -> Encoder:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    e, part, start, end = encoder(path), TaskContext.get().partitionId(), 0, np.array([end_id], "<i4").tobytes()
+    e, part, start = encoder(path), TaskContext.get().partitionId(), 0
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            rows = [x + end for x in e.encode([t or "" for t in batch.column("text").to_pylist()])]
-            lengths = np.array([len(x) // 4 for x in rows], "i8")
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            lengths, ids = e.encode(pc.fill_null(batch.column("text"), ""), end_id)
             ends = np.cumsum(lengths)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("i4")), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), part, "i4")), batch.column("doc_id"), pa.array(lengths), pa.array(start + ends - lengths), ids], names=["part", "doc_id", "n_tokens", "file_start", "ids"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("i4")), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lengths), part, "i4")), batch.column("doc_id"), pa.array(lengths), pa.array(start + ends - lengths), lists], names=["part", "doc_id", "n_tokens", "file_start", "ids"])
             start += int(ends[-1])
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, files: int | None = None) -> None:
-    """Writes the token ids of all texts to `files` Parquet files under path (default: the shuffle partitions)."""
-    n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Writes the token ids of all texts to `files` Parquet files under path (default: one for each FILE_BYTES of text)."""
+    n = files or 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     encoded = ordered.mapInArrow(lambda batches: _encode(batches, tokenizer, end_id), FILE_SCHEMA)
     options = {
@@ -152,6 +178,6 @@ def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = f"{scratch(spark)}/tokens-{uuid.uuid4().hex}"
+    path = own_folder(spark, "tokens")
     write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
     return read_token_files(spark, path).mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
