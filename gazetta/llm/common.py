@@ -40,6 +40,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def dealt(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """df dealt out by key to at least `parts` partitions and cut; joins on that key then move the other side alone.
+
+    For that it must have no fewer partitions than other exchanges. An adaptive plan does not tell the
+    checkpoint how its rows are dealt, so this one exchange is planned without.
+    """
+    conf = df.sparkSession.conf
+    parts = max(parts, int(conf.get("spark.sql.shuffle.partitions")))
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(parts, key))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 def own_folder(spark: SparkSession, kind: str) -> str:
     """A new name in the shared folder; what is there goes when the driver's Python ends."""
     folder = f"{scratch(spark)}/{kind}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Dedup of repeated byte strings by minimizers, sorting and group minima.
+"""Dedup of repeated byte strings through run-compressed Burrows-Wheeler transforms.
 
 Every byte that is covered by a string of LENGTH bytes which also starts in a document with a
 smaller doc_id is removed. Documents are read in blocks; strings never cross documents.
@@ -8,16 +8,15 @@ smaller doc_id is removed. Documents are read in blocks; strings never cross doc
    its minimizers another document has too. Only strings with shared minimizers can repeat.
 2. Neighbouring strings with one minimizer form one fragment. Blocks send the distinct fragments
    with shared minimizers, each with its earliest document, to the minimizer's shard.
-3. A shard sorts the suffixes of its distinct fragments by their first LENGTH bytes (prefix
-   doubling). Each place gets the earliest document of the suffixes that agree with its own in
-   LENGTH bytes: a minimum over each group of equal ones.
+3. A shard builds the run-compressed transform of its fragments, in parts of bounded size, with a
+   sample at the ends of runs: the earliest document of the rows before. The matching statistics of
+   all fragments are streamed through the runs, step by step to the row of every string; the interval
+   of rows that agree with it in LENGTH bytes names its earliest document.
 4. The answers, run-length coded, go back to the blocks, which mark and cut the repeats.
 
 Only minimizers, fragments that may repeat, and answers travel; copies collapse in their block
-before that. No run-compressed transform is searched: there is neither backward search nor a
-matching statistic. Every fragment that is asked for is itself among the sorted ones, so its rank
-is known and a look-up through runs would give the same minimum. earliest() forms the runs of the
-Burrows-Wheeler transform only as a step of that minimum; they do not affect it.
+before that. One transform of everything could not be built on many machines; the shards' transforms
+hold all strings that may repeat, each in one place. Matching lengths beyond LENGTH are not needed.
 
 Defined results: null text is empty; texts shorter than LENGTH lose nothing; documents with equal
 doc_ids do not remove from each other; a null doc_id comes last; extra columns are ignored; an
@@ -36,13 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blobs import gather, pack, pack_sorted, shares, unpack, unpack_sorted
-from .common import cut, documents, if_small
+from .common import cut, dealt, documents
 from .hashing import VALUES, mix, powers
 
 LENGTH, MER = 50, 16
 BLOCK_BYTES = 3 << 19
 #: Bytes of text for each shard that compares minimizers, bytes of fragments for each that compares these, and at once in it.
 SHARD_TEXT, SHARD_BYTES, SORTED_BYTES = 16 << 20, 2 << 20, 1 << 20
+#: Bytes between sampled rows: a walk's steps.
+STRIDE = 64
 LAST = np.iinfo("i8").max
 BLOCK_SCHEMA = "block string, n_bytes long, doc_id array<long>, length array<int>, text binary"
 _NONE = np.uint64(0)
@@ -194,32 +195,105 @@ def _ask_earliest(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array([row["block"]] * len(own), pa.string()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["shard", "block", "sizes", "docs", "bytes"])
 
 
+def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each suffix of text in their sorted order, and ranks that agree where 32 bytes do.
+
+    Prefix doubling from the first eight bytes on; only suffixes that are not told apart yet go on.
+    """
+    n, depth, at32 = len(text), 8, None
+    words = _words(text)
+    order = np.argsort(words)
+    new = np.concatenate([[True], words[order][1:] != words[order][:-1]])
+    rank = np.empty(n, "i8")
+    rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    while True:
+        at32 = rank.copy() if depth == 32 else at32
+        tied = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+        if not len(tied):
+            return rank, rank if at32 is None else at32
+        after = tied + depth
+        # a suffix that ends before the next part is smaller the shorter it is
+        second = np.where(after < n, rank[np.minimum(after, n - 1)] + n + 1, n - tied)
+        key = (rank[tied].astype("u8") << np.uint64(32)) | second.astype("u8")
+        order = np.argsort(key)
+        key = key[order]
+        old = key >> np.uint64(32)
+        i = np.arange(len(key))
+        start = lambda x: np.maximum.accumulate(np.where(np.concatenate([[True], x[1:] != x[:-1]]), i, 0))  # noqa: B023, E731
+        rank[tied[order]] = old.astype("i8") + start(key) - start(old)
+        depth *= 2
+
+
+class RunIndex:
+    """The run-compressed Burrows-Wheeler transform of a text: heads of its runs, and where each run's first row leads.
+
+    Row 0 is the empty suffix. A step from the row of a suffix to that of the suffix one byte longer needs
+    the runs alone: rows of one run lead to neighbouring rows.
+    """
+
+    def __init__(self, text: np.ndarray, rank: np.ndarray):
+        n = len(text)
+        before = np.empty(n + 1, "i4")
+        before[0] = text[-1] + 1
+        before[rank[1:] + 1] = text[:-1].astype("i4") + 1
+        before[rank[0] + 1] = 0  # nothing stands before the whole text
+        self.heads = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
+        sizes = np.diff(np.append(self.heads, n + 1))
+        by_byte = np.argsort(before[self.heads], kind="stable")
+        self.leads = np.empty(len(sizes), "i8")
+        self.leads[by_byte] = np.cumsum(sizes[by_byte]) - sizes[by_byte]
+
+    def longer(self, rows: np.ndarray) -> np.ndarray:
+        """The rows of the suffixes that are one byte longer."""
+        run = np.searchsorted(self.heads, rows, "right") - 1
+        return self.leads[run] + rows - self.heads[run]
+
+
 def earliest(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """The earliest document of each string of LENGTH bytes of each fragment, one after the other."""
-    ranks = lambda x: np.unique(x, return_inverse=True)[1].astype("u8")
-    ahead = lambda r, by: np.concatenate([r[by:], np.zeros(by, "u8")])
-    both = lambda r, by: (r << np.uint64(32)) | ahead(r, by)
-    depth = ranks(_words(text))
-    for by in (8, 16):
-        depth = ranks(both(depth, by))  # suffixes by their first 16, 32 bytes
-    places = gather(np.cumsum(sizes) - sizes, sizes - LENGTH + 1)
-    depth = ranks(both(depth, LENGTH - 32)[places])  # LENGTH = 32 + 18 bytes: two overlapping halves
-    before = np.where(places > 0, text[places - 1], 0).astype("u8")
-    before[np.cumsum(sizes - LENGTH + 1) - (sizes - LENGTH + 1)] = 256  # nothing stands before a fragment
-    owner = np.repeat(docs, sizes - LENGTH + 1)
-    # the minimum by prefix, in two steps: by prefix and preceding byte (runs of the transform), then by prefix
-    transform = (depth << np.uint64(9)) | before
-    order = np.argsort(transform)
-    heads = np.flatnonzero(np.concatenate([[True], transform[order][1:] != transform[order][:-1]]))
-    samples = np.minimum.reduceat(owner[order], heads)
-    prefix = transform[order][heads] >> np.uint64(9)
-    groups = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
-    return np.minimum.reduceat(samples, groups)[depth.astype("i8")]
+    """The earliest document of each string of LENGTH bytes of each fragment, one after the other.
+
+    text is the fragments, each followed by a zero. The matching statistics of all fragments are
+    streamed at once: from sampled rows, STRIDE bytes apart, steps through the runs lead to the row of
+    every string. Rows that agree in LENGTH bytes are an interval; its document is the least
+    of the samples kept at the ends of the runs within it.
+    """
+    n = len(text)
+    rank, at32 = suffix_order(text)
+    index = RunIndex(text, rank)
+    begin = np.cumsum(sizes + 1) - (sizes + 1)
+    places = gather(begin, sizes - LENGTH + 1)
+    # intervals of rows that agree in LENGTH = 32 + 18 bytes: two overlapping halves
+    order = np.empty(n, "i8")
+    order[rank] = np.arange(n)
+    half = at32[np.minimum(order + LENGTH - 32, n - 1)]
+    first = at32[order]
+    interval = np.concatenate([[True, True], (first[1:] != first[:-1]) | (half[1:] != half[:-1])])
+    owner = np.full(n + 1, LAST)
+    owner[rank[places] + 1] = np.repeat(docs, sizes - LENGTH + 1)
+    ends = np.flatnonzero(interval | np.isin(np.arange(n + 1), index.heads))
+    samples = np.minimum.reduceat(owner, ends)
+    least = np.minimum.reduceat(samples, np.flatnonzero(interval[ends]))
+    which = np.cumsum(interval) - 1
+    # each walk goes back over the strings that start in its stretch
+    count = sizes - LENGTH + 1
+    stretches = -(-count // STRIDE)
+    nth = np.arange(stretches.sum()) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+    low = np.repeat(begin, stretches) + nth * STRIDE
+    high = np.minimum(low + STRIDE, np.repeat(begin + count, stretches))
+    rows, found = rank[high] + 1, np.full(n, LAST)
+    while len(rows):
+        rows, high = index.longer(rows), high - 1
+        found[high] = least[which[rows]]
+        on = high > low
+        rows, high, low = rows[on], high[on], low[on]
+    return found[places]
 
 
 def _runs(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """earliest(), run-length coded for each fragment: values, lengths, and runs of each fragment."""
-    found = earliest(text, sizes, docs)
+    """earliest() of fragments one after the other, run-length coded for each: values, lengths, and runs of each fragment."""
+    apart = np.zeros(len(text) + len(sizes), "u1")
+    apart[gather(np.cumsum(sizes + 1) - (sizes + 1), sizes)] = text
+    found = earliest(apart, sizes, docs)
     counts = sizes - LENGTH + 1
     begin = np.cumsum(counts) - counts
     new = np.concatenate([[True], found[1:] != found[:-1]])
@@ -255,6 +329,8 @@ def _answer_earliest(rows: list[dict]) -> pa.RecordBatch:
     edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(first)]
     values, lengths, per = ([np.empty(0, "i8")] for _ in range(3))
     for a, b in zip(edges, edges[1:], strict=False):
+        if a == b:
+            continue
         own = all_sizes[first[a:b]]
         for to, x in zip((values, lengths, per), _runs(text[gather(starts[first[a:b]], own)], own, least[a:b]), strict=True):
             to.append(x)
@@ -297,19 +373,20 @@ def _cut_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte ranges), kept (the other bytes) of every text."""
-    blocks = cut(docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA))
+    formed = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA)
+    blocks = dealt(formed, formed.rdd.getNumPartitions(), "block")
     shards = -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 1) // SHARD_TEXT) or 1
     asked = blocks.select("block", "doc_id", "length", "text").mapInArrow(lambda b: _ask_shared(b, shards), "shard int, block string, keys binary, local binary")
-    dealt = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
-    shared = cut(dealt.mapInArrow(lambda b: _by_shard(b, _answer_shared), "shard int, block string, shared binary, n_shared long"))
+    to_shards = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
+    shared = cut(to_shards.mapInArrow(lambda b: _by_shard(b, _answer_shared), "shard int, block string, shared binary, n_shared long"))
     # a fragment has some 67 bytes on average
     more = -(-67 * (shared.agg(F.sum("n_shared")).first()[0] or 1) // SHARD_BYTES) or 1
-    flags = cut(shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared"), F.sum(F.length("shared")).alias("n_flags")))
-    texts = blocks.select("block", "doc_id", "length", "text").join(if_small(flags, F.col("n_flags") / 8), "block", "left").drop("n_flags")
+    flags = shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared"))
+    texts = blocks.select("block", "doc_id", "length", "text").join(flags.hint("shuffle_merge"), "block", "left")
     parts = texts.mapInArrow(lambda b: _ask_earliest(b, more), "shard int, block string, sizes binary, docs binary, bytes binary")
     sent = parts.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
     answers = cut(sent.mapInArrow(lambda b: _by_shard(b, _answer_earliest), "shard int, block string, first binary, runs binary"))
-    whole = texts.join(answers.groupBy("block").agg(F.collect_list(F.struct("shard", "first", "runs")).alias("answers")), "block", "left")
+    whole = texts.join(answers.groupBy("block").agg(F.collect_list(F.struct("shard", "first", "runs")).alias("answers")).hint("shuffle_merge"), "block", "left")
     return whole.mapInArrow(_cut_repeats, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
