@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blobs import pack, pack_sorted, shares, unpack, unpack_sorted
-from .common import cut, documents
+from .common import cut, dealt, documents
 from .hashing import combine, word_hashes
 from .language_id import held_out
 
@@ -62,6 +62,16 @@ def _block(name: str, rows: list[tuple]) -> dict:
     return {"block": name, "n_tokens": sum(lengths), "doc_id": [d for d, _, _ in rows], "role": [r for _, r, _ in rows], "length": lengths, "words": pack_sorted(words), "tokens": pack(planes)}
 
 
+def pack_counts(x: np.ndarray) -> bytes:
+    """Counts in 32 bits where they fit, else in 64; the first byte tells."""
+    size = 4 if not x.size or x.max() < 1 << 32 else 8
+    return bytes([size]) + pack(x.astype(f"u{size}"))
+
+
+def unpack_counts(x: bytes) -> np.ndarray:
+    return unpack(x[1:], f"u{x[0]}").astype("u8").reshape(2, -1)
+
+
 class Grams:
     """The n-grams of a block: distinct words, then distinct bigrams as hashes with the top bit, and where each token has its own."""
 
@@ -130,10 +140,10 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [unpack_sorted(k) for _, _, k, _ in rows]
         uses = np.concatenate([unpack(u, "u4").reshape(2, -1) for _, _, _, u in rows], 1).astype("f8")
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        kept, deleted = (np.bincount(at, w, len(distinct)).astype("u4") for w in uses)
+        kept, deleted = (np.bincount(at, w, len(distinct)).astype("u8") for w in uses)
         word = distinct < _PAIR
         ends = np.cumsum([0, *(len(k) for k in keys)])
-        counts = [pack(np.stack([kept[at[a:b]], deleted[at[a:b]]])) for a, b in zip(ends, ends[1:], strict=False)]
+        counts = [pack_counts(np.stack([kept[at[a:b]], deleted[at[a:b]]])) for a, b in zip(ends, ends[1:], strict=False)]
         all_ = (kept + deleted)[word]
         sums = [[int(x) for x in (kept[word].sum(dtype="u8"), all_.sum(dtype="u8"), (kept[word] > 0).sum(), (all_ > 0).sum())]] + [[0] * 4] * (len(rows) - 1)
         return pa.RecordBatch.from_arrays([pa.array([s for s, _, _, _ in rows], pa.int32()), pa.array([b for _, b, _, _ in rows]), pa.array(counts, pa.binary()), pa.array(sums, pa.list_(pa.int64()))], names=["shard", "block", "counts", "sums"])
@@ -154,8 +164,8 @@ class Estimates(Grams):
 
     def __init__(self, row: dict, vocabulary: tuple[int, int], total: tuple[int, int]):
         super().__init__(row)
-        parts = [unpack(x["counts"], "u4").reshape(2, -1) for x in sorted(row["answers"], key=lambda x: x["shard"])]
-        self.counts = np.empty((2, len(self.keys)), "u4")
+        parts = [unpack_counts(x["counts"]) for x in sorted(row["answers"], key=lambda x: x["shard"])]
+        self.counts = np.empty((2, len(self.keys)), "u8")
         self.counts[:, self.order] = np.concatenate(parts, 1)
         self.vocabulary, self.total = vocabulary, total
 
@@ -226,16 +236,17 @@ def score(docs: DataFrame, training: F.Column, deleted: F.Column) -> DataFrame:
     """
     role = F.when(training & deleted, DELETED).when(training, KEPT).otherwise(SCORED)
     rows = docs.select("doc_id", role.alias("role"), F.col("text").cast("binary").alias("text"))
-    blocks = cut(rows.mapInArrow(_blocks, BLOCK_SCHEMA))
+    formed = rows.mapInArrow(_blocks, BLOCK_SCHEMA)
+    blocks = dealt(formed, formed.rdd.getNumPartitions(), "block")  # so the answers go to the blocks, twice
     d = blocks.select(F.explode("role").alias("r")).agg(F.count_if(F.col("r") == KEPT), F.count_if(F.col("r") == DELETED)).first()
     shards = -(-(blocks.agg(F.sum("n_tokens")).first()[0] or 1) // SHARD_TOKENS)
     asked = blocks.mapInArrow(lambda b: _ask(b, shards), "shard int, block string, keys binary, uses binary")
-    dealt = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
-    answers = cut(dealt.mapInArrow(_answer, "shard int, block string, counts binary, sums array<long>"))
+    to_shards = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
+    answers = cut(to_shards.mapInArrow(_answer, "shard int, block string, counts binary, sums array<long>"))
     s = answers.agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)) for i in range(4))).first()
     n, v, d = (s[0], s[1]), (s[2], s[3]), tuple(d)
     of_block = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("answers"))
-    whole = blocks.join(of_block, "block")
+    whole = blocks.join(of_block.hint("shuffle_merge"), "block")
     held = whole.where(F.array_contains("role", DELETED)).mapInArrow(lambda b: _held_counts(b, v, n, d), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     mix = weights(np.array([x.cell for x in held], "i8"), np.array([x.n for x in held], "f8")).tolist()
     scored = whole.mapInArrow(lambda b: _score(b, v, n, d, mix), "doc_id long, n_tokens long, n_known long, base_score double, score double")
