@@ -1,13 +1,14 @@
 """Licence scans with a positional rare-token index, with DataFrame operations only.
 
 Licence texts are templates of words. Their words (but the commonest) form an index of postings
-(word, template, position). Every document's words are looked up in it. A word at place p that a
-template has at position q votes for that template starting at p - q. A start with enough votes
-holds the template's words in their relative positions; it counts if the template's mandatory key
-phrase stands at its own relative position as well, so votes are counted at such starts only. All
-words vote, in a document of any length: a choice of rare ones by document would go to one licence
-and miss the others. The phrases of the base list are found in the same look-up, wherever their
-words stand consecutively.
+(word, template, position). Every document's words are looked up in it. Of each template the RARE
+words vote that the file holds and that have the highest inverse document frequency in the whole corpus:
+a choice for each template, so that in a file of several licences one does not take the votes
+of the others. A word at place p that a template has at position q votes for that template starting
+at p - q. A start with enough votes holds the template's rare words in their relative positions; it
+counts if the template's mandatory key phrase stands at its own relative position as well, so
+votes are counted at such starts only. The phrases of the base list are found in the same look-up,
+wherever their words stand consecutively.
 
 Only the words found in the index are shuffled, by document; the templates are fixed and small.
 
@@ -19,13 +20,13 @@ the places of one of them; extra columns are ignored; an empty table gives an em
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, cut, documents
 
-#: The votes a start needs.
-VOTES = 3
+#: The votes a start needs, and the words of a template that have votes in a file.
+VOTES, RARE = 3, 12
 
 # Phrases that count wherever they stand, with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -93,25 +94,38 @@ def word_array(text) -> F.Column:
 def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with their number of words, places of base phrases, verified templates)."""
     spark = docs.sparkSession
+    listed, post = phrases(spark), postings(spark)
+    # one pass over the texts: a row at place -1 for each, and one for each word that is in the index or starts a phrase
+    known = sorted({w for _, text, _ in TEMPLATES for w in text.split() if w not in COMMON} | {p.split()[0] for p in [*BASE, *(key for _, _, key in TEMPLATES)]})
     keyed = docs.select("doc_id", F.xxhash64("text").alias("row"), word_array(F.col("text")).alias("words"))
-    counted = keyed.select("doc_id", "row", F.size("words").cast("long").alias("n_words"))
-    near = F.transform("words", lambda w, i: F.struct(w.alias("w"), F.get("words", i + 1).alias("n1"), F.get("words", i + 2).alias("n2")))
-    each = keyed.select("doc_id", "row", F.posexplode(near).alias("p", "x")).select("doc_id", "row", F.col("p").cast("long").alias("p"), "x.*")
-    listed = phrases(spark)
-    post = postings(spark)
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(*known))
+    place = lambda i, own: F.struct(i.cast("long").alias("p"), own(0).alias("w"), own(1).alias("n1"), own(2).alias("n2"))
+    found = F.when(F.size("words") > 0, F.transform(at, lambda i: place(i, lambda k: F.get("words", i + k)))).otherwise(F.array().cast("array<struct<p:bigint,w:string,n1:string,n2:string>>"))
+    each = F.concat(F.array(place(F.lit(-1), lambda k: F.lit(None).cast("string"))), found)
+    seen = cut(keyed.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.explode(each).alias("x")).select("doc_id", "row", "n_words", "x.*"))
+    counted = seen.where("p = -1").select("doc_id", "row", "n_words")
     index = post.select(F.col("word").alias("w")).distinct().withColumn("in_index", F.lit(True))
     starts = listed.groupBy("w").agg(F.collect_list(F.struct("n1", "n2", "template", "label", "at")).alias("starts"))
     vocabulary = index.join(starts, "w", "full")
     follows = F.filter("starts", lambda s: (s.n1 == F.col("n1")) & (s.n2.isNull() | s.n2.eqNullSafe(F.col("n2"))))
-    hits = each.join(F.broadcast(vocabulary), "w").withColumn("stand", F.coalesce(follows, F.array())).where(F.col("in_index") | (F.size("stand") > 0))
+    hits = seen.where("p >= 0").join(F.broadcast(vocabulary), "w").withColumn("stand", F.coalesce(follows, F.array())).where(F.col("in_index") | (F.size("stand") > 0))
     hits = hits.select("doc_id", "row", "p", F.when(F.col("in_index"), F.col("w")).alias("word"), "stand").distinct()
-    hits = cut(hits)  # read several times below; few words of each text
     stands = hits.select("doc_id", "row", "p", F.explode("stand").alias("s")).select("doc_id", "row", "p", "s.template", "s.label", "s.at")
     base = stands.where("template is null").select("doc_id", "row", "p", "label")
     keys = stands.where("template is not null").select("doc_id", "row", "template", (F.col("p") - F.col("at")).alias("start")).distinct()
     words = hits.where("word is not null").select("doc_id", "row", "p", "word")
-    # of each start with its key phrase, the words of its template and where they should stand
-    due = keys.join(F.broadcast(post), "template").select("doc_id", "row", "template", "label", "indexed", "start", "at", "word", (F.col("start") + F.col("at")).alias("p"))
+    # the rarest words that a file holds of each template whose key phrase it has
+    own = words.select("doc_id", "row", "word").distinct()
+    frequency = own.groupBy("word").agg(F.count(F.lit(1)).alias("files"))  # a row for each word of the fixed index
+    held = own.join(F.broadcast(post.select("word", "template").distinct()), "word").join(F.broadcast(frequency), "word")
+    asked = keys.select(F.col("doc_id").alias("a_doc"), F.col("row").alias("a_row"), F.col("template").alias("a_template")).distinct()
+    wanted = held.join(asked, F.col("doc_id").eqNullSafe(F.col("a_doc")) & (F.col("row") == F.col("a_row")) & (F.col("template") == F.col("a_template")), "left_semi")
+    by_rarity = F.row_number().over(Window.partitionBy("doc_id", "row", "template").orderBy("files", "word"))
+    rare = wanted.withColumn("nth", by_rarity).where(F.col("nth") <= RARE).select(F.col("doc_id").alias("r_doc"), F.col("row").alias("r_row"), F.col("template").alias("r_template"), F.col("word").alias("r_word"))
+    # of each start with its key phrase, these words and where they should stand
+    places = keys.join(F.broadcast(post), "template").select("doc_id", "row", "template", "label", "indexed", "start", "at", "word", (F.col("start") + F.col("at")).alias("p"))
+    votes_of = F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("row") == F.col("r_row")) & (F.col("template") == F.col("r_template")) & (F.col("word") == F.col("r_word"))
+    due = places.join(rare, votes_of, "left_semi")
     stand = due["doc_id"].eqNullSafe(words["doc_id"]) & (due["row"] == words["row"]) & (due["p"] == words["p"]) & (due["word"] == words["word"])
     votes = due.join(words, stand, "left_semi").groupBy("doc_id", "row", "template", "label", "indexed", "start").agg(F.countDistinct("at").alias("votes"))
     enough = votes.where(F.col("votes") >= F.least(F.lit(VOTES), F.col("indexed")))
@@ -122,7 +136,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
     counted, base, verified = scan(docs)
     of_base = base.select("doc_id", "row", "label", "p", F.lit(1.0).alias("share"))
-    of_templates = verified.select("doc_id", "row", "label", F.lit(None).cast("long").alias("p"), (F.col("votes") / F.col("indexed")).alias("share"))
+    of_templates = verified.select("doc_id", "row", "label", F.lit(None).cast("long").alias("p"), F.least(F.col("votes") / F.least("indexed", F.lit(RARE)), F.lit(1.0)).alias("share"))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     found = of_base.unionByName(of_templates).groupBy("doc_id", "row").agg(
         F.count("p").alias("n_base"), F.min("p").alias("first_word"), F.max("p").alias("last_word"),
