@@ -57,36 +57,30 @@ def dealt(df: DataFrame, parts: int, key: str) -> DataFrame:
 
 
 def own_folder(spark: SparkSession, kind: str) -> str:
-    """A new name in the shared folder; what is there goes when the driver's Python ends."""
+    """A new name in the shared folder; what is there goes when the driver's Python ends, if not before."""
     folder = f"{scratch(spark)}/{kind}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, folder)
+    atexit.register(remove, spark, folder)
     return folder
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of the shared folder, as long as the session lives; shuffle files that no plan can reach go with it."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: smaller than a checkpoint where rows hold texts."""
-    folder = own_folder(df.sparkSession, "table")
-    df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-#: Up to so many numbers a frame is broadcast instead of dealing out the texts it is joined to.
-SMALL = 2_000_000
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, and its folder.
 
-
-def if_small(df: DataFrame, weight: Column | None = None) -> DataFrame:
-    """df, marked for broadcast if it holds at most SMALL rows (or sum of weights); df must be cut, as it is counted.
-
-    The rows are numbers, so this bounds the size. Beyond it the join deals both sides out.
+    Against a checkpoint it is smaller, its columns are read one by one, and it can be removed as
+    soon as all that depends on it has been cut.
     """
-    n = df.agg(F.coalesce(F.sum(weight if weight is not None else F.lit(1)), F.lit(0))).first()[0]
-    return F.broadcast(df) if n <= SMALL else df
+    folder = own_folder(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
 def hottest(df: DataFrame, *keys: str, weight: Column | None = None, floor: int = HOT_FLOOR) -> DataFrame:

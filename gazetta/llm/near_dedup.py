@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blobs import gather
-from .common import cut, documents, stored
+from .common import cut, documents, remove, stored
 from .components import components
 from .hashing import combine, mix, shingles
 
@@ -310,15 +310,19 @@ def unlinked(members: DataFrame, comps: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     as_bytes = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    sets = cut(as_bytes.mapInArrow(_sets, "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary"))
+    sets, sets_at = stored(as_bytes.mapInArrow(_sets, "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary"))
     same = ["n", "k1", "k2"]
+    ids = cut(sets.select("doc_id", *same))
     least = F.min(F.struct(F.col("doc_id").alias("node"), "bands", "short")).alias("m")
-    classes = cut(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
+    classes, classes_at = stored(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
+    remove(docs.sparkSession, sets_at)
+    names = cut(classes.select(*same, "node"))
     buckets = classes.select("node", "bands").mapInArrow(_in_batch, "key long, node long, to long")
     pairs = cut(_pairs(buckets))
-    members = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short")
+    members = cut(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short"))
+    remove(docs.sparkSession, classes_at)
     members = cut(members.join(homes(members, pairs), "node"))
-    texts = stored(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
+    texts, texts_at = stored(as_bytes.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"))
     home = lambda k: members.select(F.col("node").alias(k), F.col("home").alias(f"home_{k}"))
     led = pairs.join(home("a"), "a").join(home("b"), "b")
     meeting = led.select(F.explode(F.array("a", "b")).alias("node"), block_of(F.col("home_a"), F.col("home_b")).alias("block")).distinct()
@@ -327,8 +331,9 @@ def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     more = cut(verified(texts, cut(unlinked(members, comps)), comps, percent))
     if not more.isEmpty():
         comps = components(links.unionByName(more))
-    nodes = classes.select(*same, "node").join(comps, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
-    out = sets.select("doc_id", *same).join(nodes, same, "left")
+    remove(docs.sparkSession, texts_at)
+    nodes = names.join(comps, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
+    out = ids.join(nodes, same, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
