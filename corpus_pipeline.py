@@ -9,14 +9,12 @@ repeat both doc_id and text are judged alike; an empty table gives an empty resu
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.llm import bpe_reuse, decontaminate, language_id, line_dedup, near_dedup
-from gazetta.llm.common import cut, documents, if_small, scratch, table
+from gazetta.llm.common import documents, own_folder, remove, table
 
 #: A document whose best language has a smaller share than this is in no known language.
 LEAST_SCORE = 0.35
@@ -40,8 +38,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each near-duplicate component."""
-    gone = cut(near_dedup.near_components(docs).where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(if_small(gone), "doc_id", "left_anti").select(*docs.columns)
+    gone = near_dedup.near_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,8 +81,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    folder = f"{scratch(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs
