@@ -1,8 +1,9 @@
-"""python -m gazetta JOB --tables DIR --out DIR [--start DAY] [--end DAY] [--as-of TIME] [--limit N]"""
+"""python -m gazetta JOB --tables DIR --out DIR [--start DAY] [--end DAY] [--as-of TIME] [--limit N] [--mode MODE] [--force]"""
 
 from __future__ import annotations
 
 import argparse
+import inspect
 from datetime import datetime
 
 from gazetta.jobs import JOBS
@@ -10,20 +11,30 @@ from gazetta.session import session
 from gazetta.sources.catalog import Catalog
 
 
-def main() -> None:
+def arguments(job: str, given: dict) -> dict:
+    """The options that a job takes, by name; dates are read as the job wants them. Others, and missing ones, are errors."""
+    wanted = dict(list(inspect.signature(JOBS[job]).parameters.items())[1:])
+    if unknown := given.keys() - wanted.keys():
+        raise ValueError(f"{job} takes no {', '.join(sorted(unknown))}")
+    if missing := [k for k, p in wanted.items() if p.default is p.empty and k not in given]:
+        raise ValueError(f"{job} needs {', '.join(missing)}")
+    return {k: datetime.fromisoformat(v) if wanted[k].annotation == "datetime" else v for k, v in given.items()}
+
+
+def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="gazetta", description=__doc__)
     p.add_argument("job", choices=[*JOBS])
     p.add_argument("--tables", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--start")
-    p.add_argument("--end")
-    p.add_argument("--as-of", type=datetime.fromisoformat)
+    for option in ("--start", "--end", "--as-of", "--mode"):
+        p.add_argument(option)
     p.add_argument("--limit", type=int)
-    a = p.parse_args()
-    given = [x for x in (a.start, a.end, a.as_of, a.limit) if x is not None]
-    out = JOBS[a.job](Catalog(session(), a.tables), *given)
-    for k, df in enumerate(out if isinstance(out, tuple) else (out,)):
-        df.write.mode("overwrite").parquet(f"{a.out}/{a.job}-{k}" if isinstance(out, tuple) else f"{a.out}/{a.job}")
+    p.add_argument("--force", action="store_const", const=True)
+    options = vars(p.parse_args(argv))
+    job, tables, folder = (options.pop(k) for k in ("job", "tables", "out"))
+    out = JOBS[job](Catalog(session(), tables), **arguments(job, {k: v for k, v in options.items() if v is not None}))
+    for name, df in (out if isinstance(out, dict) else {job: out}).items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
 
 
 if __name__ == "__main__":

@@ -44,13 +44,11 @@ def annotate_text(content: str | None, entities) -> list[dict]:
         pattern = re.compile(rf"(?<![{_WORD}])" + r"\s+".join(map(re.escape, name)) + rf"(?![{_WORD}])")
         for m in pattern.finditer(folded):
             start, end = places[m.start()], places[m.end() - 1] + 1
-            while end < len(content) and unicodedata.combining(content[end]):
-                end += 1
             found.append((start, start - end, -(e["count"] or 0), order, end, e))
     spans, reach = [], 0
     for start, _, _, _, end, e in sorted(found, key=lambda x: x[:4]):
         if start >= reach:
-            spans.append({"start": start, "end": end, "type": e["type"], "text": content[start:end], "canonical_id": e["canonical_id"]})
+            spans.append({"start": start, "end": end, "type": (e["type"] or "").strip().upper(), "text": content[start:end], "canonical_id": e["canonical_id"]})
             reach = end
     return spans
 

@@ -42,5 +42,17 @@ def parse(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text), *(F.try_to_timestamp(text, F.lit(f)) for f in formats))
 
 
+def normalise(text: Column) -> Column:
+    """A timestamp without zone, in UTC, of ISO text with or without a zone; null where that is none."""
+    return F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone()).cast("timestamp_ntz")
+
+
+def iso_text(ts: Column) -> Column:
+    """ISO text; microseconds only where there are any."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.date_format(ts, "SSSSSS")
+    return F.when(micros == "000000", whole).otherwise(F.concat_ws(".", whole, micros))
+
+
 def parse_epoch(text: Column) -> Column:
     return F.coalesce(F.unix_seconds(parse(text)), F.lit(0))

@@ -43,6 +43,11 @@ def contains(text: Column, path: str, schema: str, test) -> Column:
     return F.coalesce(F.exists(F.from_json(F.get_json_object(text, f"$.{path}"), schema), test), F.lit(False))
 
 
+def patch_of(**values: Column) -> Column:
+    """A JSON object of columns; those that are null are left out."""
+    return F.to_json(F.struct(*(c.alias(k) for k, c in values.items())))
+
+
 def as_objects(text: Column, schema: str) -> Column:
     """An array of objects; empty where the text is no such array."""
     return F.coalesce(F.from_json(text, schema), F.from_json(F.lit("[]"), schema))

@@ -46,6 +46,12 @@ class Registry:
                 return [*out, (m.version, "failed", {"error": str(e)})]
         return out
 
+    def stamp(self, version: int, applied: set[int]) -> list[tuple[int, str, dict]]:
+        """History rows that mark all migrations up to a version as applied without running them."""
+        if version not in self.known:
+            raise ValueError(f"version {version} is unknown")
+        return [(m.version, "stamped", {"name": m.name}) for m in self.pending(applied) if m.version <= version]
+
     def undo(self, spark: SparkSession, version: int, dry_run: bool = False) -> dict:
         m = self.known[version]
         if m.rollback is None:

@@ -21,6 +21,14 @@ def url_duplicates(news: DataFrame) -> DataFrame:
     return groups.select("agency_key", "url", F.col("ids")[0]["id"].alias("keep_id"), F.transform(F.slice("ids", 2, F.size("ids")), lambda x: x["id"]).alias("drop_ids"), (~F.col("ids")[0]["without"]).alias("kept_embedding"))
 
 
+def without_url_duplicates(news: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(news without the later rows of each url, groups, dropped rows and groups whose kept row has an embedding)."""
+    groups = url_duplicates(news)
+    gone = groups.select(F.explode("drop_ids").alias("id"))
+    report = groups.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.size("drop_ids")), F.lit(0)).cast("long").alias("dropped"), F.count_if("kept_embedding").alias("preserved_with_embedding"))
+    return news.join(gone, "id", "left_anti"), report
+
+
 def orphans(index: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Keys of the index that the source lacks."""
     return index.select(key).join(source.select(key), key, "left_anti").distinct()
@@ -51,3 +59,15 @@ def registry_aliases(rows: DataFrame, name: str, key: str, id_: str) -> tuple[Da
     owned = each.select("entity_id", text.alias_form(F.col("alias")).alias("alias_norm")).where("alias_norm <> ''").distinct()
     by_alias = owned.groupBy("alias_norm").agg(F.count(F.lit(1)).alias("owners"), F.min("entity_id").alias("entity_id"))
     return by_alias.where("owners = 1").select("alias_norm", "entity_id"), by_alias.where("owners > 1").select("alias_norm", "owners")
+
+
+def seeded_registry(agencies: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(registry rows, aliases of one owner, aliases of several, sorted) of an agency table: key, name."""
+    named = agencies.where("key is not null and name is not null").withColumn("entity_id", F.concat(F.lit(prefix), F.col("key")))
+    all_ = text.aliases(F.col("name"), F.col("key"))
+    registry = named.select(
+        "entity_id", text.without_parenthetical(F.col("name")).alias("canonical_name"), F.lit("ORG").alias("type"), F.to_json(all_).alias("aliases"), F.lit(None).cast("string").alias("wikidata_id"),
+        F.col("key").alias("agency_key"), F.lit(1.0).alias("confidence"), F.lit("agencies_seed").alias("provenance"), F.lit("{}").alias("extra"),
+    )
+    one, several = registry_aliases(named, "name", "key", "entity_id")
+    return registry, one, several.orderBy("alias_norm")

@@ -25,9 +25,11 @@ def engagement(views: DataFrame, pattern: str = ARTICLE, prefix: str | None = "/
 def object_of(key: Column, value: Column, order: Column) -> Column:
     """An aggregate: a JSON object of key -> value as text; null keys are left out, the last value in order wins, no keys give null."""
     entries = F.array_sort(F.collect_list(F.when(key.isNotNull(), F.struct(order.alias("o"), key.alias("k"), value.cast("string").alias("v")))))
-    keys = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["k"])))
-    last = F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"].alias("value")))
-    return F.when(F.count(key) > 0, F.to_json(F.map_from_entries(last), {"ignoreNullFields": "false"}))
+    # by key and order, each entry beside the next one; the last of each key is followed by another key
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v"))))
+    beside = F.zip_with(placed, F.slice(placed, 2, F.greatest(F.size(placed), F.lit(1))), lambda e, n: F.struct(e["k"].alias("key"), e["v"].alias("value"), n["k"].alias("next")))
+    last = F.filter(beside, lambda e: ~F.coalesce(e["next"] == e["key"], F.lit(False)))
+    return F.when(F.count(key) > 0, F.to_json(F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))), {"ignoreNullFields": "false"}))
 
 
 def pageviews(events: DataFrame, sessions: DataFrame, start: datetime, end: datetime) -> DataFrame:

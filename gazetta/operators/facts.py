@@ -24,11 +24,17 @@ def star(facts: DataFrame, dims: list[tuple[DataFrame, str, str, dict[str, str]]
     return facts
 
 
-#: Typed features of the fact table: name -> (path, kind).
+# The columns of the fact table, in order; required ones end with a mark.
+FACTS = """unique_id string!, title string, url string, content_hash string, agency_key string, agency_name string,
+theme_l1_code string, theme_l1_label string, theme_l2_code string, theme_l2_label string, most_specific_theme_code string, most_specific_theme_label string,
+published_at timestamp_ntz!, extracted_at timestamp_ntz, synced_at timestamp_ntz!, word_count int, char_count int, paragraph_count int, has_image boolean, has_video boolean,
+sentiment_score double, sentiment_label string, publication_hour int, publication_dow int, readability_flesch double"""
+
+#: Typed features: name -> (path, kind).
 FEATURES = {
     "sentiment_score": ("sentiment.score", "double"), "sentiment_label": ("sentiment.label", "string"), "word_count": ("word_count", "long"), "char_count": ("char_count", "long"),
     "paragraph_count": ("paragraph_count", "long"), "has_image": ("has_image", "boolean"), "has_video": ("has_video", "boolean"), "readability_flesch": ("readability_flesch", "double"),
-    "publication_hour": ("publication_hour", "long"), "trending_score": ("trending_score", "double"),
+    "publication_hour": ("publication_hour", "long"), "publication_dow": ("publication_dow", "long"), "view_count": ("view_count", "long"), "trending_score": ("trending_score", "double"),
 }
 
 
@@ -36,14 +42,76 @@ def typed_features(features: Column) -> list[Column]:
     return [jsonx.typed(features, path, kind).alias(name) for name, (path, kind) in FEATURES.items()]
 
 
+def themed(news: DataFrame, themes: DataFrame, names: dict[str, str]) -> DataFrame:
+    """news with code and label of the themes that its id columns point to; names: id column -> prefix."""
+    for column, name in names.items():
+        news = left(news, themes, column, "id", {"code": f"{name}_code", "label": f"{name}_label"})
+    return news
+
+
+def _with_missing(df: DataFrame, **kinds: str) -> DataFrame:
+    """df with null columns where it lacks them."""
+    return df.withColumns({c: F.lit(None).cast(kind) for c, kind in kinds.items() if c not in df.columns})
+
+
+def conform(rows: DataFrame, schema: str = FACTS) -> DataFrame:
+    """rows with exactly the columns of a schema, in order and cast; a null in a required one stops the job."""
+    out = []
+    for name, kind in (x.split() for x in schema.split(",")):
+        c = (F.col(name) if name in rows.columns else F.lit(None)).cast(kind.rstrip("!"))
+        if kind.endswith("!"):
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"{name} is required")).cast(kind.rstrip("!"))).otherwise(c)
+        out.append(c.alias(name))
+    return rows.select(*out)
+
+
 def build_facts(news: DataFrame, themes: DataFrame, features: DataFrame, start: str, end: str | None = None) -> DataFrame:
-    """The fact rows of [start, end] days: articles with three theme levels and typed features."""
-    rows = news.where(in_days(F.col("published_at"), start, end))
-    for n in (1, 2, 3):
-        rows = left(rows, themes, f"theme_l{n}_id", "id", {"code": f"theme_l{n}_code", "label": f"theme_l{n}_label"})
-    rows = left(rows, features, "unique_id", "unique_id", {"features": "features"})
+    """Articles of [start, end] days with three theme levels, the most specific theme and typed features."""
+    rows = _with_missing(news.where(in_days(F.col("published_at"), start, end)), most_specific_theme_id="long")
+    levels = {f"theme_l{n}_id": f"theme_l{n}" for n in (1, 2, 3)} | {"most_specific_theme_id": "most_specific_theme"}
+    rows = left(themed(rows, themes, levels), features, "unique_id", "unique_id", {"features": "features"})
     known = ["unique_id", "agency_key", "agency_name", "title", "url", "published_at", "extracted_at", "content_hash"]
-    return rows.select(*[c for c in known if c in rows.columns], *[f"theme_l{n}_{c}" for n in (1, 2, 3) for c in ("code", "label")], *typed_features(F.col("features")))
+    return rows.select(*[c for c in known if c in rows.columns], *[f"{n}_{c}" for n in levels.values() for c in ("code", "label")], *typed_features(F.col("features")))
+
+
+def fact_table(news: DataFrame, themes: DataFrame, features: DataFrame, start: str, end: str | None = None, synced_at: Column | None = None) -> DataFrame:
+    """The fact rows of [start, end] days with the columns of FACTS, as they are loaded."""
+    at = F.current_timestamp() if synced_at is None else synced_at
+    return conform(build_facts(news, themes, features, start, end).withColumn("synced_at", at))
+
+
+def search_rows(news: DataFrame, themes: DataFrame, features: DataFrame, start: str, end: str | None = None) -> DataFrame:
+    """What search.documents takes: articles of [start, end] days with four themes, features and entities."""
+    from .graph import ENTITIES
+
+    rows = _with_missing(news.where(in_days(F.col("published_at"), start, end)), theme_l3_id="long", most_specific_theme_id="long")
+    levels = {f"theme_l{n}_id": f"theme_1_level_{n}" for n in (1, 2, 3)}
+    rows = themed(rows, themes, {**levels, "most_specific_theme_id": "most_specific_theme"})
+    rows = left(rows, features, "unique_id", "unique_id", {"features": "features"})
+    renamed = {"agency_key": "agency", "image_url": "image"}
+    dropped = {*FEATURES, "features", *levels, "most_specific_theme_id"}
+    own = [F.col(c).alias(renamed.get(c, c)) for c in rows.columns if c not in dropped]
+    dated = [F.year("published_at").alias("published_year"), F.month("published_at").alias("published_month")]
+    return rows.select(*own, *dated, *typed_features(F.col("features")), F.from_json(F.get_json_object("features", "$.entities"), ENTITIES).alias("entities"))
+
+
+def bronze_rows(news: DataFrame, agencies: DataFrame, themes: DataFrame) -> DataFrame:
+    """Whole articles with their agency as joined by id and four themes, for the raw archive or one message's article."""
+    rows = left(news, agencies, "agency_id", "id", {"key": "agency_key_joined", "name": "agency_name_joined"})
+    return themed(rows, themes, {**{f"theme_l{n}_id": f"theme_l{n}" for n in (1, 2, 3)}, "most_specific_theme_id": "most_specific_theme"})
+
+
+def missing_days(rows: DataFrame, loaded: DataFrame, hash_column: str = "content_hash") -> tuple[DataFrame, DataFrame]:
+    """(rows of days that are not loaded and complete, day, status and number of rows of each day).
+
+    Status: loaded (skipped), failed (a row has no hash, so the whole day waits), or new.
+    """
+    dated = rows.withColumn("day", F.to_date("published_at"))
+    have = loaded.select(F.to_date("published_at").alias("day")).distinct().withColumn("have", F.lit(True))
+    days = dated.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.count(hash_column).alias("good")).join(have, "day", "left")
+    status = F.when(F.col("have"), "loaded").when(F.col("good") < F.col("n"), "failed").otherwise("new")
+    report = days.select("day", status.alias("status"), "n")
+    return dated.join(report.where("status = 'new'").select("day"), "day", "left_semi").drop("day"), report
 
 
 def with_themes(news: DataFrame, themes: DataFrame) -> DataFrame:

@@ -33,6 +33,24 @@ def compute(news: DataFrame, only: list[str] | None = None) -> DataFrame:
     return news.select("unique_id", F.to_json(F.struct(*(v.alias(k) for k, v in own.items()))).alias("features"))
 
 
+def window(news: DataFrame, features: DataFrame, start: str, end: str, key: str = "readability_flesch", limit: int = 50_000) -> DataFrame:
+    """Patches for the newest `limit` articles of [start, end) without that feature."""
+    at = F.col("published_at")
+    rows = news.where((at >= F.lit(start).cast("timestamp_ntz")) & (at < F.lit(end).cast("timestamp_ntz")))
+    return compute(missing(rows, features, key).orderBy(F.desc("published_at"), "unique_id").limit(limit))
+
+
+def recomputed(news: DataFrame, features: DataFrame, stored: dict[str, str]) -> DataFrame:
+    """Patches of all articles: every plain feature of those that lack it, and the outdated ones of the others; annotations where their hash has changed."""
+    from .stores import merge_features
+
+    old = [k for k in outdated(stored) if k in columns()]
+    fresh = compute(missing(news, features, next(iter(columns()))))
+    again = compute(news.join(fresh.select("unique_id"), "unique_id", "left_anti"), old) if old else fresh.limit(0)
+    spans = annotated(news.join(features.select("unique_id", "features"), "unique_id", "left")) if "entities" in news.columns else fresh.limit(0)
+    return merge_features(fresh.unionByName(again), spans)
+
+
 def annotated(news: DataFrame) -> DataFrame:
     """unique_id, features with content_annotations and their source hash, of articles whose hash has changed.
 

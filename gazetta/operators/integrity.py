@@ -50,13 +50,14 @@ def queue(news: DataFrame, as_of: datetime, limit: int, prefixes: list[str] | No
     return out
 
 
-def merge_results(state: DataFrame, results: DataFrame) -> DataFrame:
+def merge_results(state: DataFrame, results: DataFrame, order: str | None = None) -> DataFrame:
     """unique_id, features, now_broken, now_fixed after checks.
 
     state: unique_id, features; results: unique_id, patch (JSON of the check). Results of one batch
-    that repeat an id all see the state before; the last patch by text counts.
+    that repeat an id all see the state before; the last one by `order` counts, or without it by text.
     """
-    one = results.groupBy("unique_id").agg(F.max("patch").alias("patch"))
+    last = F.max("patch") if order is None else F.max(F.struct(order, "patch"))["patch"]
+    one = results.groupBy("unique_id").agg(last.alias("patch"))
     rows = one.join(state, "unique_id", "left")
     count = F.coalesce(jsonx.typed(F.col("features"), "integrity.check_count", "int"), F.lit(0)) + 1
     full = jsonx.merge(F.col("patch"), F.concat(F.lit('{"check_count":'), count.cast("string"), F.lit("}")))

@@ -5,43 +5,17 @@ Where SQL can say the same, it stands beside the query.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions import annotate, dates, jsonx, text, urls
 from gazetta.operators import dedup, engagement, facts, features, graph, integrity, rolling, search, similarity, stores, trending, trends, validate
+from gazetta.plans.registry import QUERIES, SQL, newest, query
 from gazetta.sources import catalog
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None) -> Callable[[Callable], Query]:
-    """Registers f(t), where t(name) reads a table, under its own name."""
-
-    def add(f: Callable) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: table(spark, sf_dir, name))
-
-        QUERIES[f.__name__] = run
-        if sql:
-            SQL[f.__name__] = sql
-        return run
-
-    return add
-
-
-def newest(df: DataFrame, column: str) -> datetime:
-    return df.agg(F.max(column)).first()[0]
-
+__all__ = ["QUERIES", "SQL"]
 
 # ---- trending and rolling counts
 
@@ -297,7 +271,7 @@ def _mention_rows(t) -> DataFrame:
 
 @query(_EDGES + "SELECT * FROM g")
 def co_mention_edges(t) -> DataFrame:
-    return graph.co_mentions(_mention_rows(t))
+    return graph.co_mentions(_mention_rows(t)).drop("article_count")
 
 
 @query(_EDGES + "SELECT e AS entity_id, max(weight) AS weight FROM (SELECT dst_id AS e, weight FROM g WHERE src_id = 5 UNION ALL SELECT src_id, weight FROM g WHERE dst_id = 5) GROUP BY 1")
@@ -397,7 +371,7 @@ WITH g AS (SELECT *, count(*) OVER (PARTITION BY text) AS group_size, row_number
 SELECT doc_id, group_size, place FROM g WHERE group_size > 1""")
 def dedup_canonical(t) -> DataFrame:
     docs = t("documents").withColumn("h", F.sha2("text", 256))
-    return dedup.keep_first(docs.where("text is not null"), ["h"], F.col("doc_id")).where("group_size > 1").select("doc_id", "group_size", "place")
+    return dedup.keep_first(docs, ["h"], F.col("doc_id")).where("group_size > 1").select("doc_id", "group_size", "place")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -530,3 +504,6 @@ def validation_report(t) -> DataFrame:
         validate.foreign_key("document_label", t("documents"), "doc_id", t("labels"), "doc_id"), validate.unique("order_key", t("orders"), "o_orderkey"),
         validate.unique("line_order_part", t("lineitem"), "l_orderkey", "l_partkey"), validate.count_of("negative_balance", t("customer"), F.col("c_acctbal") < 0),
     )
+
+
+from gazetta.plans import services, small_functions  # noqa: E402, F401  (they register theirs, too)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions.dates import in_days
@@ -47,6 +47,92 @@ def select_rows(df: DataFrame, filters: dict[str, Any] | None = None, order_by:
     return df.limit(limit) if limit else df
 
 
+def count_rows(df: DataFrame, filters: dict[str, Any] | None = None) -> int:
+    """The number of rows that equal all filters."""
+    return select_rows(df, filters).count()
+
+
+def numbered_pages(df: DataFrame, size: int, *order) -> DataFrame:
+    """df with page (from 0) in a total order; rows of one page are to be read together.
+
+    Rows are numbered within sorted partitions, whose sizes are added up: no single task sees all.
+    """
+    ordered = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_lo"))
+    before = sizes.select("_part", "_lo", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    placed = ordered.join(F.broadcast(before), "_part")  # one row for each partition
+    return placed.withColumn("page", F.floor((F.col("_before") + F.col("_id") - F.col("_lo")) / size)).drop("_part", "_id", "_lo", "_before")
+
+
+def keyset_page(df: DataFrame, key: str, after: Any = None, size: int = 1000) -> DataFrame:
+    """The next rows after a key; a page shorter than size is the last one."""
+    return (df if after is None else df.where(F.col(key) > F.lit(after))).orderBy(key).limit(size)
+
+
+# Names of a GraphQL answer and ours; answers lack content_hash, extracted_at and synced_at of a fact.
+CAMEL = {
+    "uniqueId": "unique_id", "title": "title", "url": "url", "imageUrl": "image", "videoUrl": "video_url", "content": "content", "summary": "summary", "subtitle": "subtitle", "editorialLead": "editorial_lead",
+    "category": "category", "tags": "tags", "agencyKey": "agency", "agencyName": "agency_name", "publishedAt": "published_at", "extractedAt": "extracted_at",
+    "themL1Code": "theme_1_level_1_code", "themL1Label": "theme_1_level_1_label", "themL2Code": "theme_1_level_2_code", "themL2Label": "theme_1_level_2_label", "themL3Code": "theme_1_level_3_code", "themL3Label": "theme_1_level_3_label",
+    "mostSpecificThemeCode": "most_specific_theme_code", "mostSpecificThemeLabel": "most_specific_theme_label", "contentEmbedding": "content_embedding", "sentimentLabel": "sentiment_label", "sentimentScore": "sentiment_score",
+    "trendingScore": "trending_score", "wordCount": "word_count", "hasImage": "has_image", "hasVideo": "has_video", "imageBroken": "image_broken", "readabilityFlesch": "readability_flesch",
+}
+#: Keys of the features object that are columns of a search row, with their kinds.
+NESTED = {"entities": "array<struct<text:string,type:string,count:int,canonical_id:string,salience:float>>", "view_count": "int"}
+
+
+def from_camel(rows: DataFrame) -> DataFrame:
+    """rows with our names; columns of other names are left out, nested features become columns, dates become epoch, year and month."""
+    from gazetta.functions.dates import normalise
+
+    out = [F.col(a).alias(b) for a, b in CAMEL.items() if a in rows.columns and b not in ("published_at", "extracted_at")]
+    if "features" in rows.columns:
+        out += [(F.from_json(F.get_json_object("features", f"$.{k}"), kind) if "<" in kind else F.get_json_object("features", f"$.{k}").try_cast(kind)).alias(k) for k, kind in NESTED.items()]
+    for camel, name in (("publishedAt", "published_at"), ("extractedAt", "extracted_at")):
+        if camel in rows.columns:
+            out.append(F.coalesce(F.unix_seconds(normalise(F.col(camel)).cast("timestamp")), F.lit(0)).alias(f"{name}_ts"))
+    mapped = rows.select(*out)
+    if "publishedAt" not in rows.columns:
+        return mapped
+    at = F.when(F.col("published_at_ts") > 0, F.timestamp_seconds("published_at_ts"))
+    return mapped.withColumns({"published_year": F.year(at), "published_month": F.month(at)})
+
+
+def serialised(df: DataFrame) -> DataFrame:
+    """df for a sink of plain values: times as ISO text, objects and maps as JSON."""
+    from gazetta.functions.dates import iso_text
+
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        out.append((iso_text(c) if kind.startswith("timestamp") else F.to_json(c) if kind.startswith(("struct", "map")) else c).alias(name))
+    return df.select(*out)
+
+
+def in_chunks(df: DataFrame, size: int, *order) -> DataFrame:
+    """chunk, rows (an array): the rows in order, size of them in each chunk but the last."""
+    own = F.struct(*df.columns)
+    paged = numbered_pages(df.withColumn("_place", F.struct(*order)), size, *order)
+    rows = F.array_sort(F.collect_list(F.struct(F.col("_place").alias("o"), own.alias("row"))))
+    return paged.groupBy(F.col("page").alias("chunk")).agg(F.transform(rows, lambda x: x["row"]).alias("rows"))
+
+
+def batch_statistics(total: int, size: int) -> dict[str, int]:
+    """How many batches of a size a total makes, and how large the last one is."""
+    return {"total": total, "batch_size": size, "batches": -(-total // size), "last_batch": total - size * (max(0, -(-total // size) - 1))}
+
+
+def agencies_of(spark: SparkSession, tree: dict[str, dict]) -> DataFrame:
+    """The agency table of a parsed master: key -> name, type, parent, url."""
+    rows = [(k, v.get("name"), v.get("type"), v.get("parent"), v.get("url")) for k, v in sorted(tree.items())]
+    return spark.createDataFrame(rows, "key string, name string, type string, parent_key string, url string")
+
+
+def probe(c: Catalog, tables: dict[str, tuple[str, ...]]) -> dict[str, list[str] | None]:
+    """For each table the columns that it lacks; None where there is no such table."""
+    return {name: [x for x in columns if not c.has(name, x)] if c.has(name) else None for name, columns in tables.items()}
+
+
 def by_id(df: DataFrame, key: str, value: Any) -> DataFrame:
     return df.where(F.col(key) == value).limit(1)
 
@@ -97,7 +183,8 @@ def masters(spark: SparkSession, tree: list[dict]) -> DataFrame:
 
 def append_days(df: DataFrame, path: str, day: str, *cluster: str) -> None:
     """Writes whole days: days that df holds are replaced, others stay, so a day loaded twice is not doubled."""
-    ordered = df.repartition(day).sortWithinPartitions(day, *cluster)
+    # days of any size: adaptive execution joins small ones and splits large ones
+    ordered = df.hint("rebalance", day).sortWithinPartitions(day, *cluster)
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
@@ -116,11 +203,16 @@ def replace(df: DataFrame, path: str) -> None:
     jvm = spark._jvm
     at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = f"{fresh}-old"
-    if fs.exists(at(path)):
+    old = f"{path.rstrip('/')}-before"
+    if not fs.exists(at(path)) and fs.exists(at(old)):
+        fs.rename(at(old), at(path))  # an earlier swap was cut off between its two renames
+    had = fs.exists(at(path))
+    if had:
+        fs.delete(at(old), True)
         fs.rename(at(path), at(old))
     if not fs.rename(at(fresh), at(path)):
-        fs.rename(at(old), at(path))
+        if had:
+            fs.rename(at(old), at(path))
         raise OSError(f"{path} could not be replaced")
     fs.delete(at(old), True)
 

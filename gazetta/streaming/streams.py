@@ -68,6 +68,23 @@ def append_by_day(stream: DataFrame, path: str, checkpoint: str, time: Column) -
     return stream.withColumn("day", time.cast("date")).writeStream.format("parquet").partitionBy("day").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
 
+# Topic -> workers that read it.
+TOPICS = {"scraped": ("enrichment",), "enriched": ("features", "search", "bronze", "embeddings"), "embedded": ("search",)}
+
+
+def start_topics(open_topic: Callable[[str], DataFrame], workers: dict[str, Callable[[DataFrame, int], None]], checkpoints: str, every: str | None = "10 seconds") -> dict[tuple[str, str], StreamingQuery]:
+    """One query for each topic and worker, each with a checkpoint of its own: every worker reads all messages of its topics."""
+    return {
+        (topic, worker): start(once(envelopes(open_topic(topic))[0]), workers[worker], f"{checkpoints}/{topic}-{worker}", every)
+        for topic, names in TOPICS.items() for worker in names if worker in workers
+    }
+
+
+def with_articles(messages: DataFrame, articles: DataFrame, key: str = "unique_id") -> DataFrame:
+    """Messages with the article they name; messages of unknown articles are left out. articles is a static table."""
+    return messages.join(articles, key)
+
+
 def lost(sent: DataFrame, handled_: DataFrame, key: str = "unique_id") -> DataFrame:
     """Messages that no handler has written: what a daily reconciliation repeats."""
     return sent.join(handled_.select(key), key, "left_anti")
