@@ -25,13 +25,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blobs import tidied
 from .common import documents
 
 WINDOW = 512
 #: Windows of the training sample: its documented bound, whatever the input.
 SAMPLE = 6000
-#: Languages that the network tells apart at most, the most frequent ones: the other documented bound.
-LANGUAGES = 500
 WIDTHS, FILTERS = (2, 3, 4), 16
 EPOCHS, BATCH, RATE, SEED = 10, 50, 0.01, 7
 UNKNOWN = "und"
@@ -119,16 +118,21 @@ def as_windows(text: bytes) -> np.ndarray:
 
 
 def sample(labelled: DataFrame, size: int = SAMPLE) -> list:
-    """About `size` rows (lang, window), in a fixed order, each language about equally often."""
+    """About `size` rows (lang, window), in a fixed order, each language about equally often.
+
+    Windows are drawn by a hash from their numbers alone; then those drawn, whose number is bounded, are
+    broadcast to the texts. So no text moves, and no language is left out by its rank.
+    """
     rows = labelled.select("lang", "doc_id", F.col("text").cast("binary").alias("b")).where("lang <> '' and length(b) > 0")
-    rows = rows.withColumn("n", F.ceil(F.octet_length("b") / WINDOW))
-    counts = rows.groupBy("lang").agg(F.sum("n").alias("windows")).orderBy(F.desc("windows"), "lang").limit(LANGUAGES)
-    n_languages = counts.count()
-    each = rows.join(F.broadcast(counts), "lang").select("lang", "doc_id", "b", "windows", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"))
+    places = rows.select("lang", "doc_id", F.xxhash64("b").alias("h"), F.ceil(F.octet_length("b") / WINDOW).alias("n"))
+    counts = places.groupBy("lang").agg(F.sum("n").alias("windows"))
+    share = size / max(1, counts.count())
+    each = places.join(counts, "lang").select("lang", "doc_id", "h", "windows", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"))
     u = (F.pmod(F.xxhash64("doc_id", "i"), F.lit(1 << 40)) + 1) / float(1 << 40)
-    drawn = each.withColumn("key", -F.log(u) * F.col("windows")).where(F.col("key") <= size / max(1, n_languages))
-    drawn = drawn.select("key", "lang", F.substring("b", F.col("i") * WINDOW + 1, F.lit(WINDOW)).alias("window")).limit(2 * size)
-    return sorted((x.key, x.lang, bytes(x.window)) for x in drawn.collect())
+    drawn = each.withColumn("key", -F.log(u) * F.col("windows")).where(F.col("key") <= share).drop("windows").distinct().orderBy("key", "lang", "doc_id", "h", "i").limit(2 * size)
+    found = rows.withColumn("h", F.xxhash64("b")).join(F.broadcast(drawn), ["lang", "doc_id", "h"])
+    windows = found.select("key", "lang", "doc_id", "i", F.substring("b", F.col("i") * WINDOW + 1, F.lit(WINDOW)).alias("window")).distinct()
+    return sorted((x.key, x.lang, bytes(x.window)) for x in windows.collect())
 
 
 def fit(labelled: DataFrame, size: int = SAMPLE) -> Network | None:
@@ -178,7 +182,7 @@ def predict(docs: DataFrame, network: Network | None, carry: tuple[str, ...] = (
     rows = docs.select(F.struct(*(c for c in carry if c != "text")).alias("doc"), F.col("text").cast("binary").alias("text"))
     with_text = "text" in carry
     schema = f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double" + ", text binary" * with_text
-    return rows.mapInArrow(lambda batches: _predict(batches, shared, with_text), schema)
+    return rows.mapInArrow(lambda batches: tidied(_predict(batches, shared, with_text)), schema)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
