@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .blobs import gather
+from .blobs import gather, tidied
 from .common import documents, own_folder
 from .pieces import MEMORY, SIMPLE, encode_each, is_byte_level, load, no_collection, pre_token_ids
 
@@ -94,8 +94,11 @@ class Encoder:
 
     def learn(self, pieces: set[str], memory: dict[str, bytes], space: str) -> None:
         """Puts the ids of pieces, each after that space, into memory."""
-        odd = []
+        odd, one = [], self.one
         for piece in pieces:
+            if piece.isascii() and piece.isalpha():
+                memory[piece] = one(space + piece).tobytes()
+                continue
             m = SIMPLE.fullmatch(piece)
             if m is None:
                 odd.append(piece)
@@ -142,13 +145,15 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("i4")), pa.array(ids))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lengths), part, "i4")), batch.column("doc_id"), pa.array(lengths), pa.array(start + ends - lengths), lists], names=["part", "doc_id", "n_tokens", "file_start", "ids"])
             start += int(ends[-1])
+    e.after.clear()
+    e.bare.clear()
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, files: int | None = None) -> None:
     """Writes the token ids of all texts to `files` Parquet files under path (default: one for each FILE_BYTES of text)."""
     n = files or 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES
     ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    encoded = ordered.mapInArrow(lambda batches: _encode(batches, tokenizer, end_id), FILE_SCHEMA)
+    encoded = ordered.mapInArrow(lambda batches: tidied(_encode(batches, tokenizer, end_id)), FILE_SCHEMA)
     options = {
         "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.dictionary.page.size": 1 << 20,
         "parquet.enable.dictionary": "false", "parquet.enable.dictionary#ids.list.element": "true", "compression": "snappy",
