@@ -1,8 +1,13 @@
-"""Arrays as compressed binary columns, and questions of blocks to shards of a hash space."""
+"""Arrays as compressed binary columns, questions of blocks to shards of a hash space, and memory given back."""
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 _ZIP = zstandard.ZstdCompressor(level=3)
@@ -39,3 +44,12 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.empty(0, "i8")
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one, free memory goes back to the system, as a worker waits for its next task."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c"))
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)

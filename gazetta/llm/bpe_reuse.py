@@ -2,12 +2,13 @@
 
 A text is cut where a rolling hash of the last eight bytes is zero in eight bits, so equal
 passages of different documents fall into equal chunks wherever they stand. A chunk is encoded
-once by each worker that meets it and remembered as (head, ids, tail): the ids of the words that
+once by each task that meets it and remembered as (head, ids, tail): the ids of the words that
 white space bounds inside the chunk, and the open pieces at its ends. At a joint the tail, all
 chunks without white space, and the next head are put together and encoded again; what stands
 beyond the white space on both sides then agrees with the encoding of the whole text, because the
 tokenizer's pre-tokens hold no white space. Words inside new chunks are remembered too.
 
+A tokenizer of another build, which is read from its file, encodes and decodes whole texts.
 Memories are bounded and emptied when full, so only speed depends on them. Nothing is shuffled.
 
 Defined results: null text is empty and gives no ids; equal rows stay; a null doc_id is kept;
@@ -24,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blobs import tidied
 from .common import documents
-from .pieces import MEMORY, SIMPLE, encode_each, load, no_collection, pre_token_ids
+from .pieces import MEMORY, SIMPLE, encode_each, is_word_level, load, no_collection, pre_token_ids
 
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 #: Average chunk: 2**CHUNK_BITS bytes.
 CHUNK_BITS = 8
-#: Chunks that a worker keeps at most.
+#: Chunks that a task keeps at most.
 CHUNKS = 20_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INNER = re.compile(rb"([^ \t\n\r\x0b\x0c]*)[ \t\n\r\x0b\x0c](?:(.*)[ \t\n\r\x0b\x0c])?([^ \t\n\r\x0b\x0c]*)", re.S)
@@ -62,10 +64,11 @@ def parts_of(word: bytes) -> list[bytes] | None:
 
 
 class Codec:
-    """Encodes and decodes whole texts with one tokenizer, whose pre-tokens must hold no white space."""
+    """Encodes and decodes whole texts with one tokenizer; chunks are reused only if its pre-tokens hold no white space."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
+        self.by_chunks = is_word_level(self.tokenizer)
         self.one = pre_token_ids(self.tokenizer)
         vocabulary = {i: x.encode() for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.tokens = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
@@ -94,6 +97,9 @@ class Codec:
         return b"".join([x[0] for x in known]), b" ".join([x[1] for x in known if x[1]])
 
     def encode_decode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+        if not self.by_chunks:
+            ids = encode_each(self.tokenizer, [x.decode("utf-8") for x in texts])
+            return [(x.tobytes(), self.tokenizer.decode(x.tolist(), skip_special_tokens=False).encode()) for x in ids]
         if len(self.words) > MEMORY:
             self.words.clear()
         if len(self.chunks) > CHUNKS:
@@ -152,11 +158,13 @@ def _run(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(x for x, _ in rows), "<i4")))
             decoded = pa.array([x for _, x in rows], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decoded], names=["doc_id", "ids", "decoded"])
+    c.words.clear()
+    c.chunks.clear()
 
 
 def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, ids, decoded of every text, as the tokenizers library gives them for the whole text."""
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(lambda batches: _run(batches, tokenizer), SCHEMA)
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(lambda batches: tidied(_run(batches, tokenizer)), SCHEMA)
 
 
 def digests(encoded: DataFrame, *more: str) -> DataFrame:

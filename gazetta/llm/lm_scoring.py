@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blobs import pack, pack_sorted, shares, unpack, unpack_sorted
+from .blobs import pack, pack_sorted, shares, tidied, unpack, unpack_sorted
 from .common import cut, dealt, documents
 from .hashing import combine, word_hashes
 from .language_id import held_out
@@ -236,20 +236,20 @@ def score(docs: DataFrame, training: F.Column, deleted: F.Column) -> DataFrame:
     """
     role = F.when(training & deleted, DELETED).when(training, KEPT).otherwise(SCORED)
     rows = docs.select("doc_id", role.alias("role"), F.col("text").cast("binary").alias("text"))
-    formed = rows.mapInArrow(_blocks, BLOCK_SCHEMA)
+    formed = rows.mapInArrow(lambda b: tidied(_blocks(b)), BLOCK_SCHEMA)
     blocks = dealt(formed, formed.rdd.getNumPartitions(), "block")  # so the answers go to the blocks, twice
     d = blocks.select(F.explode("role").alias("r")).agg(F.count_if(F.col("r") == KEPT), F.count_if(F.col("r") == DELETED)).first()
     shards = -(-(blocks.agg(F.sum("n_tokens")).first()[0] or 1) // SHARD_TOKENS)
-    asked = blocks.mapInArrow(lambda b: _ask(b, shards), "shard int, block string, keys binary, uses binary")
+    asked = blocks.mapInArrow(lambda b: tidied(_ask(b, shards)), "shard int, block string, keys binary, uses binary")
     to_shards = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
-    answers = cut(to_shards.mapInArrow(_answer, "shard int, block string, counts binary, sums array<long>"))
+    answers = cut(to_shards.mapInArrow(lambda b: tidied(_answer(b)), "shard int, block string, counts binary, sums array<long>"))
     s = answers.agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)) for i in range(4))).first()
     n, v, d = (s[0], s[1]), (s[2], s[3]), tuple(d)
     of_block = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("answers"))
     whole = blocks.join(of_block.hint("shuffle_merge"), "block")
     held = whole.where(F.array_contains("role", DELETED)).mapInArrow(lambda b: _held_counts(b, v, n, d), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     mix = weights(np.array([x.cell for x in held], "i8"), np.array([x.n for x in held], "f8")).tolist()
-    scored = whole.mapInArrow(lambda b: _score(b, v, n, d, mix), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    scored = whole.mapInArrow(lambda b: tidied(_score(b, v, n, d, mix)), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(n[1]).cast("long"))
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .blobs import gather
+from .blobs import gather, tidied
 from .common import cut, documents, remove, stored
 from .components import components
 from .hashing import combine, mix, shingles
@@ -241,9 +241,9 @@ def verified(docs: DataFrame, needed: DataFrame, comps: DataFrame | None, percen
     known = salted.withColumn("component", F.col("node")) if comps is None else salted.join(comps, "node", "left")
     wanted = known.select(F.col("node").alias("id"), F.coalesce("component", "node").alias("comp"), "blocks")
     texts = docs.join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "comp", "blocks")
-    sets = texts.mapInArrow(_send, "block long, node long, comp long, own binary")
+    sets = texts.mapInArrow(lambda b: tidied(_send(b)), "block long, node long, comp long, own binary")
     dealt = sets.repartition(F.col("block")).sortWithinPartitions("block", "node")
-    return dealt.mapInArrow(lambda batches: _compare(batches, percent), "a long, b long").where("a <> b").distinct()
+    return dealt.mapInArrow(lambda batches: tidied(_compare(batches, percent)), "a long, b long").where("a <> b").distinct()
 
 
 def _close(rows: list[tuple]) -> np.ndarray:
@@ -303,21 +303,21 @@ def unlinked(members: DataFrame, comps: DataFrame) -> DataFrame:
     own = ["node", "home", "n", "comp", "short"]
     dealt = rows.select(F.col("x.key").alias("key"), *own, F.explode(roles).alias("r")).select("key", "r.*", *own)
     blocks = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    met = blocks.mapInArrow(_across, "node long, home_a long, home_b long")
+    met = blocks.mapInArrow(lambda b: tidied(_across(b)), "node long, home_a long, home_b long")
     return met.select("node", block_of(F.col("home_a"), F.col("home_b")).alias("block")).distinct()
 
 
 def near_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     as_bytes = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    sets, sets_at = stored(as_bytes.mapInArrow(_sets, "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary"))
+    sets, sets_at = stored(as_bytes.mapInArrow(lambda b: tidied(_sets(b)), "doc_id long, n long, k1 long, k2 long, bands array<long>, short binary"))
     same = ["n", "k1", "k2"]
     ids = cut(sets.select("doc_id", *same))
     least = F.min(F.struct(F.col("doc_id").alias("node"), "bands", "short")).alias("m")
     classes, classes_at = stored(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(least).select(*same, "m.*"))
     remove(docs.sparkSession, sets_at)
     names = cut(classes.select(*same, "node"))
-    buckets = classes.select("node", "bands").mapInArrow(_in_batch, "key long, node long, to long")
+    buckets = classes.select("node", "bands").mapInArrow(lambda b: tidied(_in_batch(b)), "key long, node long, to long")
     pairs = cut(_pairs(buckets))
     members = cut(classes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node").select("node", "n", "bands", "short"))
     remove(docs.sparkSession, classes_at)

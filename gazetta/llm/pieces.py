@@ -7,6 +7,7 @@ once; the token ids are those of the whole text.
 
 from __future__ import annotations
 
+import codecs
 import contextlib
 import gc
 import json
@@ -16,8 +17,8 @@ from collections.abc import Callable, Iterator
 
 from tokenizers import Tokenizer
 
-#: Pieces that a worker keeps at most; beyond that it forgets all and starts again.
-MEMORY = 800_000
+#: Pieces that a task keeps at most; beyond that it forgets all and starts again.
+MEMORY = 500_000
 #: A word of which the tokenizers make one pre-token for certain, a mark, and the same after a line's end.
 #: Only letters whose lower case is one letter, too.
 _WORD = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"
@@ -48,6 +49,21 @@ def is_byte_level(tokenizer: Tokenizer) -> bool:
     return bool(usual and build["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and _simple_tokens(build))
 
 
+# The normaliser and pre-tokeniser of the tokenizers whose pre-tokens hold no white space.
+WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def is_word_level(tokenizer: Tokenizer) -> bool:
+    """Whether texts may be cut at white space: pre-tokens without it, each encoded alone, and tokens decoded as they are with spaces between."""
+    build = json.loads(tokenizer.to_str())
+    pre, model = build["pre_tokenizer"] or {}, build["model"]
+    first, *rest = pre.get("pretokenizers") or [None]
+    bytes_only = len(rest) == 1 and rest[0].get("type") == "ByteLevel" and not rest[0].get("use_regex", True) and not rest[0].get("add_prefix_space")
+    plain = build["normalizer"] == WORD_NORMALIZER and first == WORD_SPLIT and bytes_only and build["decoder"] is None
+    return bool(plain and model["type"] == "BPE" and not model.get("dropout") and _simple_tokens(build))
+
+
 def byte_characters() -> dict[int, int]:
     """The characters that byte-level tokenizers use for bytes: printable ones stand for themselves."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -57,11 +73,11 @@ def byte_characters() -> dict[int, int]:
 
 def pre_token_ids(tokenizer: Tokenizer) -> Callable[[str], array]:
     """A function from one pre-token (normalised) to its ids, by the tokenizer's model alone."""
-    tokenize, characters = tokenizer.model.tokenize, byte_characters()
+    tokenize, characters, decode = tokenizer.model.tokenize, byte_characters(), codecs.charmap_decode
+    table = "".join(chr(characters.get(b, b)) for b in range(256))
 
     def ids(word: str) -> array:
-        as_bytes = word.encode("utf-8").decode("latin-1").translate(characters)
-        return array("i", [t.id for t in tokenize(as_bytes)])
+        return array("i", [t.id for t in tokenize(decode(word.encode("utf-8"), "strict", table)[0])])
 
     return ids
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blobs import gather, pack, pack_sorted, shares, unpack, unpack_sorted
+from .blobs import gather, pack, pack_sorted, shares, tidied, unpack, unpack_sorted
 from .common import cut, dealt, documents
 from .hashing import VALUES, mix, powers
 
@@ -376,18 +376,18 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     formed = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_blocks, BLOCK_SCHEMA)
     blocks = dealt(formed, formed.rdd.getNumPartitions(), "block")
     shards = -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 1) // SHARD_TEXT) or 1
-    asked = blocks.select("block", "doc_id", "length", "text").mapInArrow(lambda b: _ask_shared(b, shards), "shard int, block string, keys binary, local binary")
+    asked = blocks.select("block", "doc_id", "length", "text").mapInArrow(lambda b: tidied(_ask_shared(b, shards)), "shard int, block string, keys binary, local binary")
     to_shards = asked.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
     shared = cut(to_shards.mapInArrow(lambda b: _by_shard(b, _answer_shared), "shard int, block string, shared binary, n_shared long"))
     # a fragment has some 67 bytes on average
     more = -(-67 * (shared.agg(F.sum("n_shared")).first()[0] or 1) // SHARD_BYTES) or 1
     flags = shared.groupBy("block").agg(F.collect_list(F.struct("shard", "shared")).alias("shared"))
     texts = blocks.select("block", "doc_id", "length", "text").join(flags.hint("shuffle_merge"), "block", "left")
-    parts = texts.mapInArrow(lambda b: _ask_earliest(b, more), "shard int, block string, sizes binary, docs binary, bytes binary")
+    parts = texts.mapInArrow(lambda b: tidied(_ask_earliest(b, more)), "shard int, block string, sizes binary, docs binary, bytes binary")
     sent = parts.repartition(F.col("shard")).sortWithinPartitions("shard", "block")
-    answers = cut(sent.mapInArrow(lambda b: _by_shard(b, _answer_earliest), "shard int, block string, first binary, runs binary"))
+    answers = cut(sent.mapInArrow(lambda b: tidied(_by_shard(b, _answer_earliest)), "shard int, block string, first binary, runs binary"))
     whole = texts.join(answers.groupBy("block").agg(F.collect_list(F.struct("shard", "first", "runs")).alias("answers")).hint("shuffle_merge"), "block", "left")
-    return whole.mapInArrow(_cut_repeats, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return whole.mapInArrow(lambda b: tidied(_cut_repeats(b)), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
