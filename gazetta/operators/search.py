@@ -79,6 +79,26 @@ def tokens(content: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text.to_ascii(content)), "[^a-z0-9]+"), lambda w: w != ""))
 
 
+# Frequent Portuguese words without a meaning of their own, folded.
+STOP = "a ao aos as com como da das de dele dela do dos e em entre era essa esse esta este eu foi ha isso isto ja mais mas me na nao nas no nos o os ou para pela pelas pelo pelos por qual quando que quem se sem ser seu sua so sao tambem te tem um uma".split()
+# Plural endings of folded Portuguese words, and what stands in the singular.
+PLURALS = [("oes$", "ao"), ("aes$", "ao"), ("ais$", "al"), ("eis$", "el"), ("ois$", "ol"), ("ns$", "m"), ("([rz])es$", "$1"), ("([aeiou])s$", "$1")]
+
+
+def stem(word: Column) -> Column:
+    """The singular of a folded word of more than three letters, by its ending: the first that fits."""
+    out = word
+    for ending, singular in reversed(PLURALS):
+        out = F.when(word.rlike(ending), F.regexp_replace(word, ending, singular)).otherwise(out)
+    return F.when(F.char_length(word) > 3, out).otherwise(word)
+
+
+def matching_stems(docs: DataFrame, query: str, *fields: str) -> DataFrame:
+    """Documents of which the fields together hold all words of a query in any number, words without a meaning aside."""
+    stems = lambda c: F.array_distinct(F.transform(F.filter(tokens(c), lambda w: ~w.isin(*STOP)), stem))
+    return docs.where(F.size(F.array_except(stems(F.lit(query)), stems(F.concat_ws(" ", *fields)))) == 0)
+
+
 def matching(docs: DataFrame, query: list[str], *fields: str, prefix: bool = False) -> DataFrame:
     """Documents of which the fields together hold all words of the query; with prefix, words that begin so."""
     words = tokens(F.concat_ws(" ", *fields))

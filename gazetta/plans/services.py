@@ -111,6 +111,12 @@ def prefix_search(t) -> DataFrame:
     return search.matching(t("documents"), ["licen"], "text", prefix=True).select("doc_id")
 
 
+@query(r"""
+SELECT doc_id FROM documents WHERE regexp_matches(lower(text), '(^|[^a-z0-9])licenses?([^a-z0-9]|$)') AND regexp_matches(lower(text), '(^|[^a-z0-9])softwares?([^a-z0-9]|$)')""")
+def stemmed_search(t) -> DataFrame:
+    return search.matching_stems(t("documents"), "licenses para softwares", "text").select("doc_id")
+
+
 @query("""
 SELECT 'trending_score' AS mode, p_partkey AS id, place FROM (SELECT *, row_number() OVER (ORDER BY p_size DESC NULLS LAST, p_partkey) AS place FROM part) WHERE place <= 10
 UNION ALL SELECT 'view_count', p_partkey, place FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN p_partkey % 2 = 0 THEN p_retailprice END DESC NULLS LAST, p_partkey) AS place FROM part) WHERE place <= 10""")

@@ -255,3 +255,13 @@ def test_scores_keep_names(spark):
     new = spark.createDataFrame([("a", "New", "ORG", 2.0, 3.0, 4, 5), ("b", None, "ORG", 2.0, 3.0, 4, 5), ("c", "C", None, 2.0, 3.0, 4, 5)], "entity_id string, canonical_name string, entity_type string, trending_score double, volume_ratio double, window_count int, window_agencies int")
     out = trends.persist(old, new, F.lit(DAY).cast("timestamp_ntz"))
     assert rows(out, "entity_id", "canonical_name", "type", "trending_score") == [("a", "Old", "T", 2.0), ("c", "C", "", 2.0)]
+
+
+def test_stems(spark):
+    df = spark.createDataFrame([(1, "Novas ações dos hospitais"), (2, "nova ação do hospital"), (3, "os papéis e o homem"), (4, None)], "i int, t string")
+    assert rows(search.matching_stems(df, "ação hospitais", "t"), "i") == [(1,), (2,)]
+    assert rows(search.matching_stems(df, "papel dos homens", "t"), "i") == [(3,)]
+    assert search.matching_stems(df, "de os para", "t").count() == 4
+    words = ["acoes", "paes", "hospitais", "papeis", "farois", "homens", "flores", "luzes", "casas", "mes", "onibus"]
+    got = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string").orderBy("i").select(search.stem(F.col("w")).alias("s")).collect()
+    assert [x.s for x in got] == ["acao", "pao", "hospital", "papel", "farol", "homem", "flor", "luz", "casa", "mes", "onibu"]
