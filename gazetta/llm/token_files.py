@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 
 from .blobs import gather, tidied
 from .common import documents, own_folder
-from .pieces import MEMORY, SIMPLE, encode_each, is_byte_level, load, no_collection, pre_token_ids
+from .pieces import SIMPLE, encode_each, is_byte_level, load, no_collection, pre_token_ids
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
-#: Bytes of text in one file, and texts that are encoded at once.
-FILE_BYTES, ROWS = 16 << 20, 1000
+#: Bytes of text in one file, texts that are encoded at once, and pieces that a worker keeps at most, from task to task.
+FILE_BYTES, ROWS, WORDS = 16 << 20, 1000, 800_000
 #: White space, followed by a space.
 SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _MEMORIES: dict[str, "Encoder"] = {}
@@ -80,7 +80,7 @@ class Encoder:
         plain, bare = [w for w, x in zip(words, used.tolist(), strict=True) if x], [words[i] for i in heads.tolist()]
         with no_collection():
             for memory in (self.after, self.bare):
-                if len(memory) > MEMORY:
+                if len(memory) > WORDS:
                     memory.clear()
             self.learn(set(bare).difference(self.bare), self.bare, "")
             self.learn(set(plain).difference(self.after), self.after, " ")
@@ -145,8 +145,6 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("i4")), pa.array(ids))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lengths), part, "i4")), batch.column("doc_id"), pa.array(lengths), pa.array(start + ends - lengths), lists], names=["part", "doc_id", "n_tokens", "file_start", "ids"])
             start += int(ends[-1])
-    e.after.clear()
-    e.bare.clear()
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, files: int | None = None) -> None:
