@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazetta.session import cut, scratch
+
 #: At most so many keys count as hot. Any other key then holds at most 1/257 of the rows.
 HOT_KEYS = 256
 #: Below so many rows a key is never hot.
@@ -22,24 +24,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The shared folder: the cluster's spark.checkpoint.dir, or one of our own where that is unset and all is one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file:///tmp/checkpoints"
-    return folder.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder and read from there: lineage ends, and every executor can read it."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(scratch(df.sparkSession))
-    return df.checkpoint()
-
-
 def dealt(df: DataFrame, parts: int, key: str) -> DataFrame:
     """df dealt out by key to at least `parts` partitions and cut; joins on that key then move the other side alone.
 

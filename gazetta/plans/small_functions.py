@@ -29,7 +29,7 @@ def keyset_page(t) -> DataFrame:
 
 @query("SELECT cast(floor((row_number() OVER (ORDER BY p_partkey) - 1) / 300) AS bigint) AS chunk, p_partkey FROM part")
 def row_chunks(t) -> DataFrame:
-    chunks = catalog.in_chunks(t("part").select("p_partkey"), 300, F.col("p_partkey"))
+    chunks = catalog.in_chunks(t("part").select("p_partkey"), 300, F.asc_nulls_last("p_partkey"))
     return chunks.select(F.col("chunk").cast("long").alias("chunk"), F.explode("rows").alias("r")).select("chunk", "r.p_partkey")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions.dates import in_days
+from gazetta.session import cut
 
 
 class Catalog:
@@ -52,16 +53,22 @@ def count_rows(df: DataFrame, filters: dict[str, Any] | None = None) -> int:
     return select_rows(df, filters).count()
 
 
-def numbered_pages(df: DataFrame, size: int, *order) -> DataFrame:
-    """df with page (from 0) in a total order; rows of one page are to be read together.
+def numbered(df: DataFrame, *order) -> DataFrame:
+    """df with _at, each row's place (from 0) in a total order.
 
-    Rows are numbered within sorted partitions, whose sizes are added up: no single task sees all.
+    Rows are numbered within sorted partitions, whose sizes are added up: no single task sees all. The
+    sorted rows are written once and read for both, as a second sort could draw other bounds of partitions.
     """
-    ordered = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    ordered = cut(df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()))
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_lo"))
     before = sizes.select("_part", "_lo", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     placed = ordered.join(F.broadcast(before), "_part")  # one row for each partition
-    return placed.withColumn("page", F.floor((F.col("_before") + F.col("_id") - F.col("_lo")) / size)).drop("_part", "_id", "_lo", "_before")
+    return placed.withColumn("_at", F.col("_before") + F.col("_id") - F.col("_lo")).drop("_part", "_id", "_lo", "_before")
+
+
+def numbered_pages(df: DataFrame, size: int, *order) -> DataFrame:
+    """df with page (from 0) in a total order; rows of one page are to be read together."""
+    return numbered(df, *order).withColumn("page", F.floor(F.col("_at") / size)).drop("_at")
 
 
 def keyset_page(df: DataFrame, key: str, after: Any = None, size: int = 1000) -> DataFrame:
@@ -112,9 +119,8 @@ def serialised(df: DataFrame) -> DataFrame:
 def in_chunks(df: DataFrame, size: int, *order) -> DataFrame:
     """chunk, rows (an array): the rows in order, size of them in each chunk but the last."""
     own = F.struct(*df.columns)
-    paged = numbered_pages(df.withColumn("_place", F.struct(*order)), size, *order)
-    rows = F.array_sort(F.collect_list(F.struct(F.col("_place").alias("o"), own.alias("row"))))
-    return paged.groupBy(F.col("page").alias("chunk")).agg(F.transform(rows, lambda x: x["row"]).alias("rows"))
+    rows = F.array_sort(F.collect_list(F.struct("_at", own.alias("row"))))
+    return numbered(df, *order).groupBy(F.floor(F.col("_at") / size).alias("chunk")).agg(F.transform(rows, lambda x: x["row"]).alias("rows"))
 
 
 def batch_statistics(total: int, size: int) -> dict[str, int]:

@@ -221,6 +221,20 @@ def test_pages_and_chunks(spark):
     assert rows(catalog.keyset_page(df.select("id"), "id", 90, 10)) == [(91,), (92,), (93,), (94,)] and catalog.count_rows(df, {"id": 3}) == 1
 
 
+def test_pages_and_chunks_of_several_partitions(spark):
+    """More rows than a sort samples, in partitions that are not joined: two sorts would draw other bounds."""
+    df = spark.range(100_000).withColumn("v", 99_999 - F.col("id")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunks = {r.chunk: [x.id for x in r.rows] for r in catalog.in_chunks(df.select("id"), 300, F.col("id")).collect()}
+        assert sum(len(x) for x in chunks.values()) == 100_000
+        assert chunks == {k: list(range(300 * k, min(100_000, 300 * k + 300))) for k in range(334)}
+        assert catalog.numbered_pages(df, 300, F.col("v")).where("page <> floor(v / 300)").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [x.id for x in catalog.in_chunks(df.select("id"), 300, F.desc("id")).where("chunk = 333").first().rows] == [*range(99, -1, -1)]
+
+
 def test_replace_heals_a_cut_off_swap(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(3).write.parquet(f"{path}-before")
