@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.session import cut, scratch
+from gazetta.session import cut, passing, scratch
 
 #: At most so many keys count as hot. Any other key then holds at most 1/257 of the rows.
 HOT_KEYS = 256
@@ -63,7 +63,8 @@ def stored(df: DataFrame) -> tuple[DataFrame, str]:
     soon as all that depends on it has been cut.
     """
     folder = own_folder(df.sparkSession, "table")
-    df.write.option("compression", "zstd").parquet(folder)
+    with passing(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -31,9 +34,22 @@ def scratch(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs meanwhile go as soon as it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared checkpoint folder and read from there: lineage ends, and every executor can read it."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch(df.sparkSession))
-    return df.checkpoint()
+    with passing(df.sparkSession):
+        return df.select("*").checkpoint()  # planned anew: the files of df's own plan stay

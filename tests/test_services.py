@@ -6,12 +6,13 @@ import datetime as dt
 import json
 import random
 import struct
+import time
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from gazetta import jobs
+from gazetta import jobs, session
 from gazetta.__main__ import arguments
 from gazetta.functions import annotate, text, vectors
 from gazetta.migrations import Migration, Registry
@@ -235,6 +236,21 @@ def test_pages_and_chunks_of_several_partitions(spark):
     assert [x.id for x in catalog.in_chunks(df.select("id"), 300, F.desc("id")).where("chunk = 333").first().rows] == [*range(99, -1, -1)]
 
 
+def test_cut_and_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    common = pytest.importorskip("gazetta.llm.common")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    before = files()
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    tables = [session.cut(df), common.stored(df)[0]]  # df stays, so a collection of garbage would leave its files
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert all(rows(x, "k", "count") == [(k, 100) for k in range(10)] for x in [*tables, df, df])
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_replace_heals_a_cut_off_swap(spark, tmp_path):
     path = f"{tmp_path}/t"
     spark.range(3).write.parquet(f"{path}-before")
