@@ -12,6 +12,7 @@ import contextlib
 import gc
 import json
 import re
+import string
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -21,8 +22,8 @@ from tokenizers import Tokenizer
 MEMORY = 500_000
 #: A word of which the tokenizers make one pre-token for certain, a mark, and the same after a line's end.
 #: Only letters whose lower case is one letter, too.
-_WORD = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"
-SIMPLE = re.compile(rf"({_WORD})([.,])?(?:(\n)({_WORD})([.,])?)?")
+LETTERS = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"
+SIMPLE = re.compile(rf"({LETTERS})([.,])?(?:(\n)({LETTERS})([.,])?)?")
 _LOADED: dict[str, Tokenizer] = {}
 
 
@@ -42,11 +43,12 @@ def _simple_tokens(build: dict) -> bool:
 
 
 def is_byte_level(tokenizer: Tokenizer) -> bool:
-    """Whether texts may be cut before spaces: no normaliser, byte-level pre-tokens of the usual pattern, plain BPE."""
+    """Whether texts may be cut before white space and behind words: no normaliser, byte-level pre-tokens of the usual pattern, plain BPE, a sign in each special string."""
     build = json.loads(tokenizer.to_str())
     pre, model = build["pre_tokenizer"] or {}, build["model"]
     usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-    return bool(usual and build["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and _simple_tokens(build))
+    signs = all(set(string.punctuation).intersection(t["content"]) for t in build["added_tokens"])
+    return bool(usual and build["normalizer"] is None and model["type"] == "BPE" and not model.get("dropout") and _simple_tokens(build) and signs)
 
 
 # The normaliser and pre-tokeniser of the tokenizers whose pre-tokens hold no white space.

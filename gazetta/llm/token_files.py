@@ -17,7 +17,11 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,103 +33,122 @@ from pyspark.sql import functions as F
 
 from .blobs import gather, tidied
 from .common import documents, own_folder
-from .pieces import SIMPLE, encode_each, is_byte_level, load, no_collection, pre_token_ids
+from .pieces import LETTERS, encode_each, is_byte_level, load, no_collection, pre_token_ids
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
 #: Bytes of text in one file, texts that are encoded at once, and pieces that a worker keeps at most, from task to task.
-FILE_BYTES, ROWS, WORDS = 16 << 20, 1000, 800_000
-#: White space, followed by a space.
-SPACE_AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+FILE_BYTES, ROWS, WORDS = 16 << 20, 500, 800_000
+#: Bits of `_kinds`: a space or end of line, a mark; times BEFORE: may stand before one of these.
+BLANK, MARK, BEFORE, HIGH = 1, 2, 4, 128
 _MEMORIES: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Token ids of whole texts by pieces cut before spaces.
+    """Token ids of whole texts by pieces: words with the space before them, marks, ends of lines.
 
-    A piece starts at a space whose left neighbour is no white space, and goes on to the next. Texts
-    are split, and their distinct pieces found and put together again, by whole arrays. Tokenizers
-    of another build than byte-level ones encode whole texts.
+    Texts are cut by `_cuts`, and their distinct pieces found and put together again, by whole
+    arrays. Tokenizers of another build than byte-level ones encode whole texts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.by_pieces = is_byte_level(self.tokenizer)
         self.one = pre_token_ids(self.tokenizer)
-        self.after: dict[str, bytes] = {}  # by piece without its leading space
-        self.bare: dict[str, bytes] = {}  # by piece that has none
-        self.marks = {x: ids.tobytes() for x, ids in zip(".,\n", encode_each(self.tokenizer, [*".,\n"]), strict=True)} | {None: b""}
+        special = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        marks = "".join(x for x in string.punctuation if x not in special)
+        self.kinds = _kinds(marks)
+        self.simple = re.compile(rf" ?(?:{LETTERS}|[0-9]+" + (f"|[{re.escape(marks)}]+" if marks else "") + ")")
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}  # by piece
+        self.ids, self.ends = array("i"), array("q", [0])  # of all pieces, in the order of their places
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each text with the end id, and all ids."""
-        end = np.array([end_id], "<i4").tobytes()
         if not self.by_pieces:
+            end = np.array([end_id], "<i4").tobytes()
             whole = [x.tobytes() + end for x in encode_each(self.tokenizer, texts.to_pylist())]
             return np.array([len(x) // 4 for x in whole], "i8"), np.frombuffer(b"".join(whole), "<i4")
-        lists = pc.split_pattern(texts, pattern=" ")
-        n = len(texts)
-        odd = np.flatnonzero(pc.match_substring_regex(texts, pattern=SPACE_AFTER_SPACE).to_numpy(zero_copy_only=False))
-        if len(odd):
-            more = pa.array([self.parts(texts[i].as_py()) for i in odd.tolist()], lists.type)
-            at = np.arange(n)
-            at[odd] = n + np.arange(len(odd))
-            lists = pa.concat_arrays([lists, more]).take(pa.array(at))
-        ends = np.cumsum(lists.value_lengths().to_numpy().astype("i8"))
-        firsts = np.concatenate([[0], ends[:-1]])
-        pieces = lists.flatten().dictionary_encode()
-        words, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy().astype("i8")
-        heads, at = np.unique(codes[firsts], return_inverse=True)
-        codes[firsts] = len(words) + at  # pieces without a space before them are another kind
-        used = np.bincount(codes, minlength=len(words))[: len(words)] > 0
-        plain, bare = [w for w, x in zip(words, used.tolist(), strict=True) if x], [words[i] for i in heads.tolist()]
+        texts = texts.cast(pa.string())
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, "i4", len(texts) + 1, 4 * texts.offset)
+        data = data.slice(bounds[0], bounds[-1] - bounds[0]).to_pybytes() if data else b""
+        bounds = bounds - bounds[0]
+        cuts = _cuts(data, bounds, self.kinds)
+        pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype("i4")), pa.py_buffer(data)).dictionary_encode()
+        places = self.placed(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy()]
+        ends = np.asarray(self.ends)
+        starts = ends[places]
+        sizes = ends[places + 1] - starts
+        until = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(cuts, bounds)]  # ids before each text
+        return np.diff(until) + 1, np.insert(np.asarray(self.ids)[gather(starts, sizes)], until[1:], end_id)
+
+    def placed(self, pieces: list[str]) -> np.ndarray:
+        """The place of each of these distinct pieces, after the new ones have been learned."""
         with no_collection():
-            for memory in (self.after, self.bare):
-                if len(memory) > WORDS:
-                    memory.clear()
-            self.learn(set(bare).difference(self.bare), self.bare, "")
-            self.learn(set(plain).difference(self.after), self.after, " ")
-            ids = [*map(self.after.__getitem__, plain), *map(self.bare.__getitem__, bare), end]
-        place = np.concatenate([np.cumsum(used) - 1, len(plain) + np.arange(len(bare))])
-        tokens = np.insert(place[codes], ends, len(ids) - 1)
-        sizes = np.fromiter(map(len, ids), "i8", len(ids)) // 4
-        values = np.frombuffer(b"".join(ids), "<i4")
-        own = sizes[tokens]
-        return np.add.reduceat(own, firsts + np.arange(n)), values[gather((np.cumsum(sizes) - sizes)[tokens], own)]
-
-    def learn(self, pieces: set[str], memory: dict[str, bytes], space: str) -> None:
-        """Puts the ids of pieces, each after that space, into memory."""
-        odd, one = [], self.one
+            if len(self.places) > WORDS:
+                self.forget()
+            out = np.fromiter(map(self.places.get, pieces, itertools.repeat(-1)), "i8", len(pieces))
+            missing = np.flatnonzero(out < 0)
+            new = [pieces[i] for i in missing.tolist()]
+            self.learn(new)
+            out[missing] = np.fromiter(map(self.places.__getitem__, new), "i8", len(new))
+        return out
+
+    def learn(self, pieces: list[str]) -> None:
+        odd, one, simple, places = [], self.one, self.simple.fullmatch, self.places
         for piece in pieces:
-            if piece.isascii() and piece.isalpha():
-                memory[piece] = one(space + piece).tobytes()
-                continue
-            m = SIMPLE.fullmatch(piece)
-            if m is None:
+            if simple(piece) is None:
                 odd.append(piece)
                 continue
-            word, mark, end, second, last = m.groups()
-            ids = memory.get(word) or self.known(word, memory, space)
-            if mark or end:
-                ids += self.marks[mark]
-                if end:
-                    ids += self.marks[end] + (self.bare.get(second) or self.known(second, self.bare, "")) + self.marks[last]
-                memory[piece] = ids
-        for piece, ids in zip(odd, encode_each(self.tokenizer, [space + x for x in odd]), strict=True):
-            memory[piece] = ids.tobytes()
-
-    def known(self, word: str, memory: dict[str, bytes], space: str) -> bytes:
-        memory[word] = ids = self.one(space + word).tobytes()
-        return ids
-
-    def parts(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        out = parts[:1]
-        for x in parts[1:]:
-            if out[-1] == "" or out[-1][-1].isspace():
-                out[-1] += f" {x}"
-            else:
-                out.append(x)
-        return out
+            self.ids.extend(one(piece))
+            self.ends.append(len(self.ids))
+            places[piece] = len(places)
+        for piece, ids in zip(odd, encode_each(self.tokenizer, odd), strict=True):
+            self.ids.extend(ids)
+            self.ends.append(len(self.ids))
+            places[piece] = len(places)
+
+
+def _kinds(marks: str) -> bytes:
+    """What each byte is: where a text may be cut before it in the low bits, what may stand there before it in the high ones."""
+    out = bytearray(256)
+    for c in range(256):
+        x = chr(c)
+        if c >= 128:
+            out[c] = HIGH
+        elif not x.isspace():
+            out[c] = BEFORE * BLANK
+            if x.isalpha():
+                out[c] |= BEFORE * MARK
+            elif x in marks:
+                out[c] |= MARK
+        elif x in " \n":
+            out[c] = BLANK
+    return bytes(out)
+
+
+def _cuts(data: bytes, bounds: np.ndarray, kinds: bytes) -> np.ndarray:
+    """Where pieces start, and the end. Each is a bound of pre-tokens that depends on no text beyond it.
+
+    Texts are cut at their bounds, before a space or end of line behind what is no white space,
+    before a mark behind a letter, and between a single end of line and what is no white space.
+    Where the bytes beside do not tell for certain, there is no cut.
+    """
+    x, kind = np.frombuffer(data, "u1"), np.frombuffer(data.translate(kinds), "u1")
+    cut = np.zeros(len(x) + 1, bool)
+    cut[1:-1] = kind[1:] & kind[:-1] // BEFORE & (BLANK | MARK) > 0
+    at = 1 + np.flatnonzero((kind[1:] & (BLANK | MARK) > 0) & (kind[:-1] == HIGH))
+    last, second, third = x[at - 1], x[at - 2], x[at - 3]
+    latin = (second >= 0xC3) & (second <= 0xC5) & ((second > 0xC3) | (last != 0x97) & (last != 0xB7))
+    white = (second == 0xC2) | (third >= 0xE1) & (third <= 0xE3) & np.isin(second, (0x80, 0x81, 0x9A))  # and some others
+    cut[at] = np.where(kind[at] & MARK, latin, ~white)
+    cut[bounds] = True
+    line = np.flatnonzero((x[:-1] == 10) & ((kind[1:] >= BEFORE) & (kind[1:] < HIGH) | (x[1:] >= 0xC3) & (x[1:] <= 0xDF)))
+    cut[line[cut[line]] + 1] = True
+    return np.flatnonzero(cut)
 
 
 def encoder(path: str) -> Encoder:

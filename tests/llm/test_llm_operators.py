@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -168,6 +169,37 @@ def test_token_files_have_page_indexes(spark, docs, tmp_path):
         assert any("DELTA" in e for e in m.row_group(0).column(1).encodings)
 
 
+def test_token_files_learn_each_word_once():
+    """Marks and ends of lines beside words make no pieces of their own."""
+    r, words = random.Random(8), ["Haus", "größer", "the", "Éan", "x"]
+    texts = ["".join(r.choice(words) + r.choice([" ", ". ", ", ", "\n", ".\n", ",\n", "!!! ", "$$\n"]) for _ in range(200)) for _ in range(50)]
+    e = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    lengths, ids = e.encode(pa.array(texts), 2)
+    want = [[*x.ids, 2] for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert lengths.tolist() == [*map(len, want)] and ids.tolist() == sum(want, [])
+    assert sum(len(x) for x in vars(e).values() if isinstance(x, dict)) <= 2 * len(words) + 10
+
+
+def test_token_files_are_cut_at_safe_places_only():
+    r = random.Random(9)
+    near = [*" \n\t\r.,'!&<|12_", "  ", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u3000", "\u200b", "’", "—", "。", "'s", "'LL", "<|endoftext|>"]
+    near += ["word", "É", "ß", "×", "÷", "ƀ", "ª", "º", "µ", "²", "я", "日本", "\U0001f642", "e\u0301", "ŉ"]
+    texts = ["".join(r.choice(near) for _ in range(r.choice([0, 1, 2, 5, 12]))) for _ in range(20_000)]
+    e = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    lengths, ids = e.encode(pa.array(["x. ", *texts])[1:], 2)
+    want = [[*x.ids, 2] for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert lengths.tolist() == [*map(len, want)] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_token_files_with_a_special_string_of_letters(tmp_path):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.add_special_tokens(["stop"])
+    tokenizer.save(f"{tmp_path}/t.json")
+    lengths, ids = token_files.Encoder(f"{tmp_path}/t.json").encode(pa.array(["stop", "nonstop", "a stop. b"]), 2)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in ("stop", "nonstop", "a stop. b")]
+    assert lengths.tolist() == [*map(len, want)] and ids.tolist() == sum(want, [])
+
+
 def test_repeats(spark, docs, texts, empty):
     first = {}
     all_ = {i: (t or "").encode() for i, t in enumerate(texts)}
