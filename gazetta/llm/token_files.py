@@ -37,8 +37,9 @@ from .pieces import LETTERS, encode_each, is_byte_level, load, no_collection, pr
 
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, file_start long, ids array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 128 << 10
-#: Bytes of text in one file, texts that are encoded at once, and pieces that a worker keeps at most, from task to task.
-FILE_BYTES, ROWS, WORDS = 16 << 20, 500, 800_000
+#: Bytes of text in one file, texts that are encoded at once, and pieces that a worker keeps at most, from task to task,
+#: of at most so many ids on average (scripts without spaces have long ones).
+FILE_BYTES, ROWS, WORDS, IDS = 16 << 20, 500, 800_000, 8
 #: Bits of `_kinds`: a space or end of line, a mark; times BEFORE: may stand before one of these.
 BLANK, MARK, BEFORE, HIGH = 1, 2, 4, 128
 _MEMORIES: dict[str, "Encoder"] = {}
@@ -88,7 +89,7 @@ class Encoder:
     def placed(self, pieces: list[str]) -> np.ndarray:
         """The place of each of these distinct pieces, after the new ones have been learned."""
         with no_collection():
-            if len(self.places) > WORDS:
+            if len(self.places) > WORDS or len(self.ids) > IDS * WORDS:
                 self.forget()
             out = np.fromiter(map(self.places.get, pieces, itertools.repeat(-1)), "i8", len(pieces))
             missing = np.flatnonzero(out < 0)

@@ -191,6 +191,15 @@ def test_token_files_are_cut_at_safe_places_only():
     assert lengths.tolist() == [*map(len, want)] and ids.tolist() == [i for x in want for i in x]
 
 
+def test_token_files_forget_long_pieces(monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS", 100)
+    e, r = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(4)
+    for _ in range(20):
+        text = "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(3000))
+        _, ids = e.encode(pa.array([text]), 2)
+        assert ids.tolist() == [*e.tokenizer.encode(text, add_special_tokens=False).ids, 2] and len(e.places) <= 2
+
+
 def test_token_files_with_a_special_string_of_letters(tmp_path):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.add_special_tokens(["stop"])
