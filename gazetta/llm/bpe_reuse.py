@@ -6,10 +6,12 @@ once by each task that meets it and remembered as (head, ids, tail): the ids of
 white space bounds inside the chunk, and the open pieces at its ends. At a joint the tail, all
 chunks without white space, and the next head are put together and encoded again; what stands
 beyond the white space on both sides then agrees with the encoding of the whole text, because the
-tokenizer's pre-tokens hold no white space. Words inside new chunks are remembered too.
+tokenizer's pre-tokens hold no white space. Words inside new chunks are remembered too. Only ids
+are remembered; the tokens of a batch are looked up and joined by whole arrays.
 
 A tokenizer of another build, which is read from its file, encodes and decodes whole texts.
-Memories are bounded and emptied when full, so only speed depends on them. Nothing is shuffled.
+Memories are bounded in number and bytes and emptied when full, so only speed depends on them.
+Nothing is shuffled.
 
 Defined results: null text is empty and gives no ids; equal rows stay; a null doc_id is kept;
 extra columns are ignored; an empty table gives an empty result.
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +35,9 @@ from .pieces import MEMORY, SIMPLE, encode_each, is_word_level, load, no_collect
 SCHEMA = "doc_id long, ids array<int>, decoded string"
 #: Average chunk: 2**CHUNK_BITS bytes.
 CHUNK_BITS = 8
-#: Chunks that a task keeps at most.
-CHUNKS = 20_000
+#: Chunks that a task keeps at most, and bytes of the words, and of the chunks, that it keeps with their ids: scripts
+#: without spaces have long ones. Texts that are encoded at once, and their bytes unless one alone has more.
+CHUNKS, KEPT, ROWS, BYTES = 20_000, 16 << 20, 500, 4 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INNER = re.compile(rb"([^ \t\n\r\x0b\x0c]*)[ \t\n\r\x0b\x0c](?:(.*)[ \t\n\r\x0b\x0c])?([^ \t\n\r\x0b\x0c]*)", re.S)
 _CODECS: dict[str, "Codec"] = {}
@@ -70,40 +74,51 @@ class Codec:
         self.tokenizer = load(path)
         self.by_chunks = is_word_level(self.tokenizer)
         self.one = pre_token_ids(self.tokenizer)
-        vocabulary = {i: x.encode() for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.tokens = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}  # ids as little-endian int32, tokens joined by spaces
-        self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bytes] | None] = {}
+        vocabulary = {i: x for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.tokens = pa.array([vocabulary.get(i, "") for i in range(max(vocabulary) + 1)], pa.string())
+        self.forget_words()
+        self.forget_chunks()
+
+    def forget_words(self) -> None:
+        self.words: dict[bytes, bytes] = {}  # ids as little-endian int32
+        self.word_bytes = 0
+
+    def forget_chunks(self) -> None:
+        self.chunks: dict[bytes, tuple[bytes, bytes, bytes] | None] = {}
+        self.chunk_bytes = 0
 
     def learn(self, words: set[bytes]) -> None:
         """Encodes words that are not known yet, each plain part of them once."""
-        odd, token = [], self.tokens.__getitem__
-        for w in words.difference(self.words):
+        odd, new = [], words.difference(self.words)
+        for w in new:
             parts = parts_of(w)
             if parts is None:
                 odd.append(w)
                 continue
             for x in parts:
                 if x not in self.words:
-                    ids = self.one(x.decode("utf-8"))
-                    self.words[x] = (ids.tobytes(), b" ".join(map(token, ids)))
+                    self.words[x] = self.one(x.decode("utf-8")).tobytes()
             if w not in self.words:
                 self.words[w] = self.words[parts[0]] if len(parts) == 1 else self.join(parts)
         for w, ids in zip(odd, encode_each(self.tokenizer, [x.decode("utf-8") for x in odd]), strict=True):
-            self.words[w] = (ids.tobytes(), b" ".join(map(token, ids)))
+            self.words[w] = ids.tobytes()
+        self.word_bytes += sum(len(w) + len(self.words[w]) for w in new)
+
+    def join(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.words.__getitem__, words))
 
-    def join(self, words: list[bytes]) -> tuple[bytes, bytes]:
-        known = [self.words[w] for w in words]
-        return b"".join([x[0] for x in known]), b" ".join([x[1] for x in known if x[1]])
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        if not self.by_chunks:
+            return pa.array([self.tokenizer.decode(x.as_py(), skip_special_tokens=False) for x in ids], pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.values)), " ")
 
-    def encode_decode(self, texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_chunks:
-            ids = encode_each(self.tokenizer, [x.decode("utf-8") for x in texts])
-            return [(x.tobytes(), self.tokenizer.decode(x.tolist(), skip_special_tokens=False).encode()) for x in ids]
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        if len(self.chunks) > CHUNKS:
-            self.chunks.clear()
+            return [x.tobytes() for x in encode_each(self.tokenizer, [x.decode("utf-8") for x in texts])]
+        if len(self.words) > MEMORY or self.word_bytes > KEPT:
+            self.forget_words()
+        if len(self.chunks) > CHUNKS or self.chunk_bytes > KEPT:
+            self.forget_chunks()
         pieces = []
         for text in texts:
             ends = cuts(text)
@@ -115,7 +130,8 @@ class Codec:
         joints = [self.joints(own, split) for own in pieces]
         self.learn(set().union(*(x[1] for x in split.values() if x), *joints))
         for c, x in split.items():
-            self.chunks[c] = x and (x[0], *self.join(x[1]), x[2])
+            self.chunks[c] = x and (x[0], self.join(x[1]), x[2])
+            self.chunk_bytes += len(c) + sum(map(len, self.chunks[c] or ()))
         return [self.assemble(own, words) for own, words in zip(pieces, joints, strict=True)]
 
     def joints(self, own: list[bytes], split: dict) -> list[bytes]:
@@ -130,14 +146,12 @@ class Codec:
                 open_ = x[-1]
         return [*out, open_]
 
-    def assemble(self, own: list[bytes], joints: list[bytes]) -> tuple[bytes, bytes]:
+    def assemble(self, own: list[bytes], joints: list[bytes]) -> bytes:
         inner = [x for x in map(self.chunks.__getitem__, own) if x]
-        words = [self.words[w] for w in joints]
-        ids, tokens = [words[0][0]], [words[0][1]]
-        for x, w in zip(inner, words[1:], strict=True):
-            ids += (x[1], w[0])
-            tokens += (x[2], w[1])
-        return b"".join(ids), b" ".join([x for x in tokens if x])
+        ids = [self.words[joints[0]]]
+        for x, w in zip(inner, joints[1:], strict=True):
+            ids += (x[1], self.words[w])
+        return b"".join(ids)
 
 
 def codec(path: str) -> Codec:
@@ -147,19 +161,29 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """batch in parts of at most ROWS rows and BYTES of text, or one row."""
+    start = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+        if i > start and (i - start == ROWS or size + n > BYTES):
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def _run(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     c = codec(path)
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
+        for batch in _slices(whole):
             with no_collection():
-                rows = c.encode_decode([x or b"" for x in batch.column("text").to_pylist()])
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x, _ in rows])]).astype("i4")
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(x for x, _ in rows), "<i4")))
-            decoded = pa.array([x for _, x in rows], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decoded], names=["doc_id", "ids", "decoded"])
-    c.words.clear()
-    c.chunks.clear()
+                rows = c.encode([x or b"" for x in batch.column("text").to_pylist()])
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in rows])]).astype("i4")
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, c.decode(ids)], names=["doc_id", "ids", "decoded"])
+    c.forget_words()
+    c.forget_chunks()
 
 
 def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:

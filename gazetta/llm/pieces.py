@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 from tokenizers import Tokenizer
 
 #: Pieces that a task keeps at most; beyond that it forgets all and starts again.
-MEMORY = 500_000
+MEMORY = 250_000
 #: A word of which the tokenizers make one pre-token for certain, a mark, and the same after a line's end.
 #: Only letters whose lower case is one letter, too.
 LETTERS = r"[A-Za-zÀ-ÖØ-öø-įı-ſ]+"

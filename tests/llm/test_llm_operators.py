@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -255,6 +256,33 @@ def test_bpe_reuse(spark, docs, texts, empty):
     assert bpe_reuse.encode_decode(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_bpe_reuse_keeps_only_ids():
+    """A word of the memory takes its own bytes and those of its ids, not its tokens."""
+    r = random.Random(3)
+    words = {"".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(5000)}
+    c = bpe_reuse.Codec(public_tokenizers.path("word_bpe_49k.json"))
+    c.learn({w.encode() for w in words})
+    held = {id(x): sys.getsizeof(x) for w, v in c.words.items() for x in ((w, v) if isinstance(v, bytes) else (w, v, *v))}
+    assert len(c.words) == len(words) and sum(held.values()) <= 110 * len(words)
+
+
+def test_bpe_reuse_bounds_the_bytes_it_keeps(monkeypatch):
+    """Scripts without spaces: a text is one word, and equal characters are one chunk."""
+    monkeypatch.setattr(bpe_reuse, "KEPT", 50_000, raising=False)
+    monkeypatch.setattr(bpe_reuse, "BYTES", 20_000, raising=False)
+    path, r = public_tokenizers.path("word_bpe_49k.json"), random.Random(4)
+    tokenizer, c = Tokenizer.from_file(path), bpe_reuse.codec(path)
+    texts = ["".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in [3000] * 20 + [9000]] + ["x" * n for n in range(9000, 9020)] + [None, ""]
+    batch, at, most = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts).cast(pa.binary())}), 0, 0
+    for out in bpe_reuse._run(iter([batch, batch.slice(0, 0)]), path):
+        for ids, decoded in zip(out.column("ids").to_pylist(), out.column("decoded").to_pylist(), strict=True):
+            want = tokenizer.encode(texts[at] or "", add_special_tokens=False).ids
+            assert (ids, decoded) == (want, tokenizer.decode(want, skip_special_tokens=False))
+            at += 1
+        most = max(most, sum(map(len, [*c.words, *c.chunks])))
+    assert at == len(texts) and most <= 2 * (50_000 + 30_000) and not c.words and not c.chunks
+
+
 def shingle_set(t):
     w = TOKEN.findall((t or "").translate(LOW))
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
